@@ -8,8 +8,9 @@ Two later amendments by the algorithm's author are included: ``bli`` becomes ``b
 ``logi`` becomes ``log``. Tokens of up to two characters stay as they are. Any character but
 a, e, i, o, u and (after a consonant) y counts as a consonant, digits and apostrophes too.
 
-While the rules run, a ``y`` that acts as a consonant is written ``Y``. That makes "vowel" and
-"consonant" plain character classes. All patterns with a repeated part are anchored at the
+While the rules run, a ``y`` that acts as a consonant is written ``Y``, which makes "vowel" and
+"consonant" plain character classes, and a token that is too short carries a final ``X``, which
+no rule fits. All patterns with a repeated part are anchored at the
 start and possessive there, so their cost is linear in the token, however long it is.
 """
 
@@ -90,10 +91,13 @@ LAST_SUFFIXES = [
 ]
 
 
-def _mark_consonant_y(w: Column) -> Column:
+def _mark(w: Column) -> Column:
     after_vowel_or_first = F.regexp_replace(w, "(^|[aeiou])y", "$1Y")
-    marked = F.regexp_replace(after_vowel_or_first, "yy", "yY")
-    return F.when(w.contains("y"), marked).otherwise(w)
+    consonants = F.regexp_replace(after_vowel_or_first, "yy", "yY")
+    too_short = F.length(w) <= 2
+    return (
+        F.when(too_short, F.concat(w, F.lit("X"))).when(w.contains("y"), consonants).otherwise(w)
+    )
 
 
 def _plural(w: Column) -> Column:
@@ -157,12 +161,12 @@ def _final_ll(w: Column) -> Column:
     return F.when(w.endswith("ll") & w.rlike(f"^{MEASURE_2}"), F.regexp_replace(w, "l$", "")).otherwise(w)
 
 
-def _restore_y(w: Column) -> Column:
-    return F.when(w.contains("Y"), F.translate(w, "Y", "y")).otherwise(w)
+def _unmark(w: Column) -> Column:
+    return F.when(w.contains("Y") | w.endswith("X"), F.translate(w, "YX", "y")).otherwise(w)
 
 
 _RULES = [
-    _mark_consonant_y,
+    _mark,
     _plural,
     _past_and_gerund,
     _final_y,
@@ -171,7 +175,7 @@ _RULES = [
     _last_suffix,
     _final_e,
     _final_ll,
-    _restore_y,
+    _unmark,
 ]
 
 
@@ -180,7 +184,7 @@ def stem_array(tokens: Column) -> Column:
     stems = tokens
     for rule in _RULES:
         stems = F.transform(stems, rule)
-    return F.zip_with(tokens, stems, lambda t, s: F.when(F.length(t) <= 2, t).otherwise(s))
+    return stems
 
 
 def stem(token: Column) -> Column:
