@@ -211,9 +211,9 @@ def cooccurrence_sweep(
 
 
 def _part(neighbor, parts):
-    """Which of ``parts`` parts a neighbor belongs to, by a stable hash."""
+    """Which of ``parts`` parts a neighbor belongs to, by a stable hash; 0 where there is one."""
     bucket = F.conv(F.substring(F.md5(neighbor.cast("binary")), 1, 8), 16, 10).cast("bigint")
-    return F.when(neighbor.isNull(), F.lit(0)).otherwise(F.pmod(bucket, parts)).cast("int")
+    return F.when(parts.isNull(), F.lit(0)).otherwise(F.pmod(bucket, parts)).cast("int")
 
 
 def stripes(pairs: DataFrame, max_entries: int | None = MAX_STRIPE_ENTRIES) -> DataFrame:
@@ -247,7 +247,7 @@ def stripes(pairs: DataFrame, max_entries: int | None = MAX_STRIPE_ENTRIES) -> D
             .where(F.col("neighbor").isNotNull() | F.col("parts").isNull())
             .select(
                 "word",
-                _part(F.col("neighbor"), F.coalesce("parts", F.lit(1))).alias("part"),
+                _part(F.col("neighbor"), F.col("parts")).alias("part"),
                 entry,
             )
             # The join leaves all parts of a word in one partition; spread them.

@@ -28,7 +28,9 @@ def read_document_lines(
     Files of the same name in two folders are one document. ``clean_ids`` deletes every
     ``.txt`` from the name.
     """
-    name = F.col("_metadata.file_name")
+    # The name is percent-encoded as in a URI, where a plus sign stands for itself.
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    name = F.url_decode(encoded)
     doc_id = clean_document_id(name) if clean_ids else name
     lines = spark.read.text(path).select(doc_id.alias("doc_id"), F.col("value").alias("line"))
     return drop_long_lines(lines, max_bytes)

@@ -50,11 +50,15 @@ def require_words(words: DataFrame, what: str = "vocabulary") -> DataFrame:
 
 
 def word_set(spark: SparkSession, words: Iterable[str]) -> DataFrame:
-    """A word list given in code. As a literal its size is known to the optimizer."""
-    literal = sorted({w for w in words if w})
-    if not literal:
-        return spark.range(0).select(F.lit("").alias("word"))
-    return spark.range(1).select(F.explode(F.lit(literal)).alias("word"))
+    """A word list given in code.
+
+    A short one is a literal, which the optimizer takes for small and broadcasts; one of more
+    than ``LITERAL_WORDS`` becomes a table of unknown size, which it does not.
+    """
+    distinct = sorted({w for w in words if w})
+    if not distinct or len(distinct) > LITERAL_WORDS:
+        return spark.createDataFrame([(w,) for w in distinct], "word string")
+    return spark.range(1).select(F.explode(F.lit(distinct)).alias("word"))
 
 
 def literal_words(words: DataFrame | Iterable[str] | None, limit: int = LITERAL_WORDS):
