@@ -34,7 +34,9 @@ def vocabulary_stripes(distance: int):
     def run(spark, sf):
         docs = q.documents(spark, sf)
         vocabulary = q.plans.frequent_words(docs, 50, q.SHORT_STOPWORDS)
-        return op.vocabulary_stripes(docs, distance, vocabulary, max_entries=None)
+        return op.vocabulary_stripes(
+            docs, distance, vocabulary, max_entries=None, small_lists=True
+        )
 
     return run
 

@@ -136,6 +136,23 @@ def test_pairs_and_stripes_against_brute_force(texts, d, skewed):
     assert set(stripe_dict(stripes)) == seen
 
 
+def test_the_size_of_the_lists_changes_no_result(spark, texts, monkeypatch):
+    docs = corpus(4, True)
+    table = texts(*docs)
+    vocabulary, stopwords = ["alpha", "beta", "the", "of", "7"], ["of"]
+    kept = set(vocabulary) - set(stopwords)
+    expected, _ = brute_force(docs, 3, "alnum", kept)
+    listed = spark.createDataFrame([(w,) for w in vocabulary], "word string")
+    for small in (True, False, None):
+        for words in (vocabulary, listed):
+            pairs = op.cooccurrence_pairs(table, 3, words, stopwords, small_lists=small)
+            assert counts(pairs) == expected
+        sweep = op.cooccurrence_sweep(table, [3], listed, stopwords, small_lists=small)
+        assert {(r.word, r.neighbor): r.cnt_d3 for r in sweep.collect()} == expected
+    expected = stripe_dict(op.all_word_stripes(table, 2, ["of", "the"], small_lists=True))
+    assert stripe_dict(op.all_word_stripes(table, 2, ["of", "the"], small_lists=False)) == expected
+
+
 @pytest.mark.parametrize("preagg", cooccurrence.PREAGGREGATION)
 def test_local_aggregation_changes_no_result(texts, preagg, monkeypatch):
     monkeypatch.setattr(cooccurrence, "MAPCLASS_ROWS", 5)

@@ -103,6 +103,15 @@ def test_a_long_list_in_code(spark, rows):
     assert sources.literal_words(words) is None
 
 
+def test_size_check(spark, monkeypatch):
+    words = sources.word_set(spark, ["a", "b", "c"])
+    assert sources.is_small(words, 3) and not sources.is_small(words, 2)
+    assert sources.is_small(["a", "b"], 2) and not sources.is_small(["a", "b"], 1)
+    assert sources.is_small(words.limit(0), 0)
+    monkeypatch.setattr(sources.wordlists, "BROADCAST_BYTES", 2)
+    assert not sources.is_small(words, 3)
+
+
 def test_word_set_and_literal_words(spark, rows):
     assert rows(sources.word_set(spark, ["b", "a", "b", ""])) == [("a",), ("b",)]
     assert rows(sources.word_set(spark, [])) == []

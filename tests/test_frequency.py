@@ -74,6 +74,22 @@ def test_published_scores(spark, term, df, tf, expected):
     assert table.select(F.round(score, 6).alias("s")).first().s == expected
 
 
+@pytest.mark.parametrize("small", [True, False, None])
+@pytest.mark.parametrize("unknown", [True, False])
+def test_the_size_of_the_table_changes_no_result(spark, texts, rows, small, unknown):
+    docs = texts("house tree day", "days days", "x")
+    table = spark.createDataFrame([("hous", 2), ("dai", 1), ("none", 4)], "term string, df bigint")
+    options = dict(keep_unknown_terms=unknown)
+    assert rows(op.tf_idf(docs, table, small_table=small, **options)) == rows(
+        op.tf_idf(docs, table, **options)
+    )
+    assert rows(op.term_frequency(docs, table, small_table=small)) == [
+        ("d1", "dai", 1),
+        ("d1", "hous", 1),
+        ("d2", "dai", 2),
+    ]
+
+
 def test_number_of_documents_is_a_parameter(spark, texts, rows):
     table = spark.createDataFrame([("a", 1)], "term string, df bigint")
     assert rows(op.tf_idf(texts("a"), table, n_documents=1)) == [("d1", "a", 0.693147)]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.text import line_array, token_array
 from wordloom.operators.words import drop_words, keep_words
+from wordloom.sources.wordlists import is_small
 
 PREAGGREGATION = ("none", "combiner", "mapclass")
 
@@ -29,11 +30,17 @@ def _check_distance(distance: int) -> None:
         raise ValueError(f"the window distance must be an integer of at least 1, not {distance!r}")
 
 
-def _filter(rows: DataFrame, column: str, vocabulary, stopwords) -> DataFrame:
+def _are_small(vocabulary, stopwords, small: bool | None) -> bool:
+    if small is not None:
+        return small
+    return all(is_small(words) for words in (vocabulary, stopwords) if words is not None)
+
+
+def _filter(rows: DataFrame, column: str, vocabulary, stopwords, small: bool) -> DataFrame:
     if vocabulary is not None:
-        rows = keep_words(rows, vocabulary, column)
+        rows = keep_words(rows, vocabulary, column, small)
     if stopwords is not None:
-        rows = drop_words(rows, stopwords, column)
+        rows = drop_words(rows, stopwords, column, small)
     return rows
 
 
@@ -45,6 +52,7 @@ def window_pairs(
     tokenizer: str = "alnum",
     scope: str = "line",
     text: str = "text",
+    small_lists: bool = False,
     with_words: bool = False,
 ) -> DataFrame:
     """``(word, neighbor, offset)``: each token with each of the ``distance`` tokens after it.
@@ -56,6 +64,7 @@ def window_pairs(
     The token array, zipped with itself shifted by 1 .. distance, yields every window in one
     generator, so no shuffle or sort comes before the count, and a row carries ``distance``
     tokens however long its line is. The first filter runs before the neighbors are expanded.
+    ``small_lists`` broadcasts the vocabulary and the stopwords.
     """
     _check_distance(distance)
     if scope == "line":
@@ -73,7 +82,7 @@ def window_pairs(
         .select(F.col("z.t0").alias("word"), *(f"z.t{k}" for k in range(1, distance + 1)))
         .where(F.col("word") != "")
     )
-    centres = _filter(centres, "word", vocabulary, stopwords)
+    centres = _filter(centres, "word", vocabulary, stopwords, small_lists)
 
     after = [F.col(f"t{k}") for k in range(1, distance + 1)]
     if with_words:
@@ -89,7 +98,7 @@ def window_pairs(
         pairs = centres.select("word", window.alias("step", "neighbor"))
         pairs = pairs.where(F.col("neighbor") != "")
         pairs = pairs.select("word", "neighbor", (F.col("step") + 1).alias("offset"))
-    return _filter(pairs, "neighbor", vocabulary, stopwords)
+    return _filter(pairs, "neighbor", vocabulary, stopwords, small_lists)
 
 
 def _unordered(pairs: DataFrame, *more) -> DataFrame:
@@ -170,7 +179,22 @@ def _count(pairs: DataFrame, preagg: str) -> DataFrame:
             _count_inside_tasks(MAPCLASS_ROWS), "a string, b string, cnt bigint"
         )
         return counted.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"))
-    raise ValueError(f"preagg must be one of {', '.join(PREAGGREGATION)}, not {preagg!r}")
+    raise ValueError(f"unknown preagg {preagg!r}")
+
+
+def _counted_pairs(texts, distance, vocabulary, stopwords, small_lists, count, **window):
+    """Unordered pairs of listed words, counted by ``count``, with the lists at the right place.
+
+    Small lists are broadcast and filter the tokens before they are paired. Other lists join
+    the counts: one row per distinct pair is shuffled to them, not one per occurrence.
+    """
+    if _are_small(vocabulary, stopwords, small_lists):
+        return count(
+            window_pairs(texts, distance, vocabulary, stopwords, small_lists=True, **window)
+        )
+    counts = count(window_pairs(texts, distance, **window))
+    counts = _filter(counts, "a", vocabulary, stopwords, False)
+    return _filter(counts, "b", vocabulary, stopwords, False)
 
 
 def cooccurrence_pairs(
@@ -182,13 +206,28 @@ def cooccurrence_pairs(
     scope: str = "line",
     preagg: str = "combiner",
     text: str = "text",
+    small_lists: bool | None = None,
 ) -> DataFrame:
     """``(word, neighbor, cnt)`` for both directions of every co-occurring pair.
 
-    With a vocabulary both words must be in it; with stopwords neither may be one.
+    With a vocabulary both words must be in it; with stopwords neither may be one. Lists of
+    unknown size are counted first, up to a bound; ``small_lists`` saves that where the answer
+    is known (a top-k list is small).
     """
-    pairs = window_pairs(texts, distance, vocabulary, stopwords, tokenizer, scope, text)
-    return _mirrored(_count(pairs, preagg), ["cnt"])
+    if preagg not in PREAGGREGATION:
+        raise ValueError(f"preagg must be one of {', '.join(PREAGGREGATION)}, not {preagg!r}")
+    counts = _counted_pairs(
+        texts,
+        distance,
+        vocabulary,
+        stopwords,
+        small_lists,
+        lambda pairs: _count(pairs, preagg),
+        tokenizer=tokenizer,
+        scope=scope,
+        text=text,
+    )
+    return _mirrored(counts, ["cnt"])
 
 
 def cooccurrence_sweep(
@@ -199,15 +238,26 @@ def cooccurrence_sweep(
     tokenizer: str = "alnum",
     scope: str = "line",
     text: str = "text",
+    small_lists: bool | None = None,
 ) -> DataFrame:
     """``(word, neighbor, cnt_d<k> ...)`` for several distances, in one pass over the text."""
     distances = sorted(set(distances))
     for distance in distances:
         _check_distance(distance)
-    pairs = window_pairs(texts, distances[-1], vocabulary, stopwords, tokenizer, scope, text)
     columns = [f"cnt_d{d}" for d in distances]
     within = [F.count_if(F.col("offset") <= d).alias(c) for d, c in zip(distances, columns)]
-    return _mirrored(_unordered(pairs, "offset").groupBy("a", "b").agg(*within), columns)
+    counts = _counted_pairs(
+        texts,
+        distances[-1],
+        vocabulary,
+        stopwords,
+        small_lists,
+        lambda pairs: _unordered(pairs, "offset").groupBy("a", "b").agg(*within),
+        tokenizer=tokenizer,
+        scope=scope,
+        text=text,
+    )
+    return _mirrored(counts, columns)
 
 
 def _part(neighbor, parts):
@@ -265,10 +315,11 @@ def vocabulary_stripes(
     preagg: str = "combiner",
     text: str = "text",
     max_entries: int | None = MAX_STRIPE_ENTRIES,
+    small_lists: bool | None = None,
 ) -> DataFrame:
     """Stripes over a vocabulary without its stopwords; a word with no neighbor has no row."""
     pairs = cooccurrence_pairs(
-        texts, distance, vocabulary, stopwords, "alnum", scope, preagg, text
+        texts, distance, vocabulary, stopwords, "alnum", scope, preagg, text, small_lists
     )
     return stripes(pairs, max_entries)
 
@@ -281,12 +332,22 @@ def all_word_stripes(
     preagg: str = "combiner",
     text: str = "text",
     max_entries: int = MAX_STRIPE_ENTRIES,
+    small_lists: bool | None = None,
 ) -> DataFrame:
     """Stripes of every word that is no stopword; a word with no neighbor has an empty one."""
-    pairs = window_pairs(
-        texts, distance, None, stopwords, "nonword", scope, text, with_words=True
+    counts = _counted_pairs(
+        texts,
+        distance,
+        None,
+        stopwords,
+        small_lists,
+        lambda pairs: _count(pairs, preagg),
+        tokenizer="nonword",
+        scope=scope,
+        text=text,
+        with_words=True,
     )
-    return stripes(_mirrored(_count(pairs, preagg), ["cnt"]), max_entries)
+    return stripes(_mirrored(counts, ["cnt"]), max_entries)
 
 
 def stripe_maps(stripes: DataFrame) -> DataFrame:

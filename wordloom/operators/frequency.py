@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.porter import stem, stem_array
 from wordloom.functions.text import token_array
 from wordloom.operators.words import drop_words
-from wordloom.sources.wordlists import literal_words
+from wordloom.sources.wordlists import is_small, literal_words
 
 # Fixed value: the corpus size in the score formula when none is given.
 DEFAULT_DOCUMENTS = 10_000
@@ -87,20 +87,23 @@ def term_frequency(
     tokenizer: str = "alpha",
     doc_id: str = "doc_id",
     text: str = "text",
+    small_table: bool | None = None,
 ) -> DataFrame:
     """``(doc_id, term, tf)`` over stemmed tokens, limited to the terms of ``df_table`` if given.
 
-    The limit is stated on the counts: Spark moves the semi join below the aggregate when the
-    table is small enough to broadcast, and joins counted rows otherwise.
+    A small table is broadcast and filters the tokens before they are counted; any other joins
+    the counts. ``small_table`` says which, or None to count the table up to a bound.
     """
-    terms = stem_array(token_array(text, tokenizer))
-    counts = (
-        docs.select(F.col(doc_id).alias("doc_id"), F.explode_outer(terms).alias("term"))
-        .where(F.col("term") != "")
-        .groupBy("doc_id", "term")
-        .agg(F.count("*").alias("tf"))
-    )
-    return counts if df_table is None else counts.join(df_table, "term", "left_semi")
+    stemmed = stem_array(token_array(text, tokenizer))
+    terms = docs.select(F.col(doc_id).alias("doc_id"), F.explode_outer(stemmed).alias("term"))
+    terms = terms.where(F.col("term") != "")
+    small = df_table is not None and (is_small(df_table) if small_table is None else small_table)
+    if small:
+        terms = terms.join(F.broadcast(df_table), "term", "left_semi")
+    counts = terms.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    if df_table is not None and not small:
+        counts = counts.join(df_table, "term", "left_semi")
+    return counts.select("doc_id", "term", "tf")
 
 
 def score(tf, df, n_documents):
@@ -116,15 +119,20 @@ def tf_idf(
     tokenizer: str = "alpha",
     doc_id: str = "doc_id",
     text: str = "text",
+    small_table: bool | None = None,
 ) -> DataFrame:
     """``(doc_id, term, score)``, the score rounded to six decimals.
 
     Terms outside ``df_table`` are left out, or with ``keep_unknown_terms`` scored as if one
-    document held them. A document with no term left has no row.
+    document held them. A document with no term left has no row. ``small_table`` as in
+    ``term_frequency``; beyond it the only join is that of the counts with the table, so that
+    adaptive execution can split a term that most documents hold.
     """
-    limit = None if keep_unknown_terms else df_table
-    counts = term_frequency(docs, limit, tokenizer, doc_id, text)
-    joined = counts.join(df_table, "term", "left" if keep_unknown_terms else "inner")
+    small = is_small(df_table) if small_table is None else small_table
+    limit = df_table if small and not keep_unknown_terms else None
+    counts = term_frequency(docs, limit, tokenizer, doc_id, text, small)
+    table = F.broadcast(df_table) if small else df_table
+    joined = counts.join(table, "term", "left" if keep_unknown_terms else "inner")
     df = F.coalesce("df", F.lit(1)) if keep_unknown_terms else F.col("df")
     return joined.select(
         "doc_id", "term", F.round(score(F.col("tf"), df, n_documents), 6).alias("score")

@@ -13,6 +13,12 @@ from wordloom.operators import (
     word_count,
 )
 from wordloom.operators.frequency import DEFAULT_DOCUMENTS
+from wordloom.sources.wordlists import BROADCAST_WORDS
+
+
+def is_few(k: int) -> bool:
+    """Whether a top-k list is small by its limit, without counting it."""
+    return k <= BROADCAST_WORDS
 
 
 def frequent_words(docs: DataFrame, k: int = 50, stopwords=None) -> DataFrame:
@@ -25,7 +31,7 @@ def frequent_word_pairs(
 ) -> DataFrame:
     """Co-occurrence among the ``k`` most frequent words."""
     vocabulary = frequent_words(docs, k, stopwords).select("word")
-    return cooccurrence_pairs(docs, distance, vocabulary, **options)
+    return cooccurrence_pairs(docs, distance, vocabulary, small_lists=is_few(k), **options)
 
 
 def frequent_term_scores(
@@ -37,4 +43,4 @@ def frequent_term_scores(
 ) -> DataFrame:
     """TF-IDF of every document for the ``k`` terms of highest document frequency."""
     table = document_frequency(docs, stopwords, one_row_per_document=one_row_per_document)
-    return tf_idf(docs, top_terms(table, k), n_documents)
+    return tf_idf(docs, top_terms(table, k), n_documents, small_table=is_few(k))

@@ -94,14 +94,16 @@ def pairs_query(distance: int, **options):
 def cooc_pairs_sweep(spark, sf):
     docs = documents(spark, sf)
     vocabulary = plans.frequent_words(docs, 50, SHORT_STOPWORDS)
-    return op.cooccurrence_sweep(docs, (1, 2, 3, 4), vocabulary)
+    return op.cooccurrence_sweep(docs, (1, 2, 3, 4), vocabulary, small_lists=True)
 
 
 def cooc_stripes(spark, sf):
     docs = documents(spark, sf)
     vocabulary = plans.frequent_words(docs, 50)
     # Fifty words bound a stripe, so it needs no splitting.
-    stripes = op.vocabulary_stripes(docs, 2, vocabulary, SHORT_STOPWORDS, max_entries=None)
+    stripes = op.vocabulary_stripes(
+        docs, 2, vocabulary, SHORT_STOPWORDS, max_entries=None, small_lists=True
+    )
     return stripes.select("word", stripe_text("entries").alias("stripe"))
 
 
@@ -164,7 +166,7 @@ def porter_stem(spark, sf):
 
 
 def term_freq(spark, sf):
-    return op.term_frequency(documents(spark, sf), doc_freq_top100(spark, sf))
+    return op.term_frequency(documents(spark, sf), doc_freq_top100(spark, sf), small_table=True)
 
 
 def tfidf(spark, sf):
@@ -174,7 +176,12 @@ def tfidf(spark, sf):
 
 
 def tfidf_unknown_terms(spark, sf):
-    return op.tf_idf(documents(spark, sf), doc_freq_top100(spark, sf), keep_unknown_terms=True)
+    return op.tf_idf(
+        documents(spark, sf),
+        doc_freq_top100(spark, sf),
+        keep_unknown_terms=True,
+        small_table=True,
+    )
 
 
 def corpus_counters(spark, sf):

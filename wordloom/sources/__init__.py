@@ -10,6 +10,7 @@ from wordloom.sources.lines import (
 )
 from wordloom.sources.wordlists import (
     SHORT_STOPWORDS,
+    is_small,
     literal_words,
     parse_stopwords,
     parse_vocabulary,
@@ -23,6 +24,7 @@ __all__ = [
     "SHORT_STOPWORDS",
     "document_lines",
     "drop_long_lines",
+    "is_small",
     "literal_words",
     "parse_df_table",
     "parse_stopwords",

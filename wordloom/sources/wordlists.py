@@ -18,6 +18,10 @@ that the their they this to was were which with you
 # Up to this many words an expression may hold as a literal; larger lists are joined.
 LITERAL_WORDS = 10_000
 
+# What counts as small enough to broadcast.
+BROADCAST_WORDS = 100_000
+BROADCAST_BYTES = 16 << 20
+
 
 def parse_stopwords(lines: DataFrame, column: str = "line") -> DataFrame:
     """One word per line, trimmed and lower-cased; blank lines are skipped."""
@@ -61,18 +65,34 @@ def word_set(spark: SparkSession, words: Iterable[str]) -> DataFrame:
     return spark.range(1).select(F.explode(F.lit(distinct)).alias("word"))
 
 
+def is_small(words: DataFrame | Iterable[str], rows: int = BROADCAST_WORDS) -> bool:
+    """Whether a word list has at most ``rows`` words and ``BROADCAST_BYTES`` bytes.
+
+    For a DataFrame this counts up to ``rows + 1`` of its rows.
+    """
+    if not isinstance(words, DataFrame):
+        return len(list(words)) <= rows
+    column = F.col(words.columns[0])
+    found = (
+        words.limit(rows + 1)
+        .agg(F.count("*").alias("n"), F.sum(F.octet_length(column)).alias("bytes"))
+        .first()
+    )
+    return found.n <= rows and (found.bytes or 0) <= BROADCAST_BYTES
+
+
 def literal_words(words: DataFrame | Iterable[str] | None, limit: int = LITERAL_WORDS):
     """The words as a Python list, or None if there are more than ``limit`` of them.
 
-    At most ``limit + 1`` rows reach the driver.
+    Only a list that passed the size check reaches the driver.
     """
     if words is None:
         return []
+    if not is_small(words, limit):
+        return None
     if isinstance(words, DataFrame):
-        found = [row.word for row in words.select("word").limit(limit + 1).collect()]
-    else:
-        found = list(words)
-    return found if len(found) <= limit else None
+        return [row.word for row in words.select("word").collect()]
+    return list(words)
 
 
 def as_words(spark: SparkSession, words: DataFrame | Iterable[str]) -> DataFrame:
