@@ -100,8 +100,17 @@ def _mark(w: Column) -> Column:
     )
 
 
+def _cut(w: Column, n: int) -> Column:
+    """``w`` without its last ``n`` characters."""
+    return F.substring(w, F.lit(1), F.length(w) - n)
+
+
 def _plural(w: Column) -> Column:
-    return F.when(w.endswith("s"), F.regexp_replace(w, "(?:(ss|i)es|([^s])s)$", "$1$2")).otherwise(w)
+    return (
+        F.when(~w.endswith("s") | w.endswith("ss"), w)
+        .when(w.endswith("sses") | w.endswith("ies"), _cut(w, 2))
+        .otherwise(_cut(w, 1))
+    )
 
 
 def _past_and_gerund(w: Column) -> Column:
@@ -122,8 +131,9 @@ def _final_y(w: Column) -> Column:
 
 
 def _may_end_in(w: Column, suffixes) -> Column:
-    """Cheap test on the last two characters; it spares most tokens the regular expressions."""
-    return F.substring(w, -2, 2).isin(sorted({s[-2:] for s in suffixes}))
+    """Cheap test on the last characters; it spares most tokens the regular expressions."""
+    n = min(3, *(len(s) for s in suffixes))
+    return F.substring(w, -n, n).isin(sorted({s[-n:] for s in suffixes}))
 
 
 def _replace_suffix(w: Column, table: dict[str, str]) -> Column:
@@ -154,11 +164,11 @@ def _last_suffix(w: Column) -> Column:
 
 def _final_e(w: Column) -> Column:
     drop = w.rlike(f"^{MEASURE_1}") & ~w.rlike(f"^{C}++{V}{C_END}e$")
-    return F.when(w.endswith("e") & drop, F.regexp_replace(w, "e$", "")).otherwise(w)
+    return F.when(w.endswith("e") & drop, _cut(w, 1)).otherwise(w)
 
 
 def _final_ll(w: Column) -> Column:
-    return F.when(w.endswith("ll") & w.rlike(f"^{MEASURE_2}"), F.regexp_replace(w, "l$", "")).otherwise(w)
+    return F.when(w.endswith("ll") & w.rlike(f"^{MEASURE_2}"), _cut(w, 1)).otherwise(w)
 
 
 def _unmark(w: Column) -> Column:

@@ -9,7 +9,9 @@ from wordloom.functions.formats import pair_text, score_text, stripe_text
 
 
 def tsv_lines(df: DataFrame, *fields: Column) -> DataFrame:
-    return df.select(F.concat_ws("\t", *(f.cast("string") for f in fields)).alias("value"))
+    """``(value)``: the fields of a row joined by tabs; a NULL is an empty field."""
+    texts = (F.coalesce(f.cast("string"), F.lit("")) for f in fields)
+    return df.select(F.concat_ws("\t", *texts).alias("value"))
 
 
 def _write(lines: DataFrame, path: str, mode: str) -> None:
