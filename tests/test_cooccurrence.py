@@ -229,17 +229,30 @@ def test_wide_stripes_are_split_without_loss(spark, texts):
         assert names == sorted(names)
 
 
-def test_wide_stripes_without_static_broadcast(spark, texts):
+def test_wide_stripes_without_static_broadcast(spark, texts, capsys):
     """The same where table sizes rule out a broadcast at planning time."""
     table = texts(*[f"hub w{i}" for i in range(200)], "lone")
-    expected = {(r.word, r.part): r.entries for r in op.all_word_stripes(table, 1, max_entries=10).collect()}
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+    def parts(max_entries):
+        stripes = op.all_word_stripes(table, 1, max_entries=max_entries)
+        rows = {(r.word, r.part): r.entries for r in stripes.collect()}
+        stripes.explain()
+        return rows, capsys.readouterr().out.split("== Initial Plan ==")[0]
+
+    expected, _ = parts(10)
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name, value in zip(names, ["-1", "10MB"]):
+        spark.conf.set(name, value)
     try:
-        stripes = op.all_word_stripes(table, 1, max_entries=10)
-        assert {(r.word, r.part): r.entries for r in stripes.collect()} == expected
+        got, plan = parts(10)
+        assert got == expected
+        # The wide words turn out to be few, and the pairs are read where they are.
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        _, plan = parts(1000)
+        assert "Join" not in plan
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in names:
+            spark.conf.unset(name)
 
 
 def test_stripe_maps_and_merge(texts):

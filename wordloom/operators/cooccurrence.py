@@ -281,15 +281,15 @@ def stripes(pairs: DataFrame, max_entries: int | None = MAX_STRIPE_ENTRIES) -> D
         # The sum keeps ``cnt`` in this branch, which makes its shuffle the same as that of
         # the other one, and Spark reuses it. Counts are positive, so it decides nothing.
         sizes = pairs.groupBy("word").agg(F.count("neighbor").alias("n"), F.sum("cnt").alias("s"))
-        # Wide words are few. The shuffle after the filter lets the adaptive planner see how
-        # few, so that it broadcasts them or, if there are none, drops the join.
+        # Wide words are few. The rebalancing shuffle after the filter lets the adaptive planner
+        # see how few: it broadcasts them up to its threshold, and with none it drops the join.
         wide = (
             sizes.where((F.col("n") > max_entries) & (F.col("s") > 0))
             .select(
                 F.col("word").alias("wide_word"),
                 F.ceil(F.col("n") / F.lit(max_entries)).cast("bigint").alias("parts"),
             )
-            .repartition("wide_word")
+            .hint("rebalance")
         )
         placed = (
             pairs.join(wide, F.col("word") == F.col("wide_word"), "left")

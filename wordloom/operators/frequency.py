@@ -24,10 +24,11 @@ def _document_terms(docs, stopwords, tokenizer, stemmed, doc_id, text) -> DataFr
             terms = F.array_distinct(stem_array(terms))
         rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode_outer(terms).alias("term"))
         return rows.where(F.col("term").isNotNull())
-    # The stopwords are too many for an expression: join them.
+    # The stopwords are too many for an expression: join them, by broadcast if that is safe.
     terms = F.array_distinct(token_array(text, tokenizer))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode_outer(terms).alias("term"))
-    rows = drop_words(rows.where(F.col("term") != ""), stopwords, "term")
+    rows = rows.where(F.col("term") != "")
+    rows = drop_words(rows, stopwords, "term", small=is_small(stopwords))
     return rows.withColumn("term", stem(F.col("term"))).distinct() if stemmed else rows
 
 

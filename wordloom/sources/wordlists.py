@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +53,7 @@ def require_words(words: DataFrame, what: str = "vocabulary") -> DataFrame:
     return words
 
 
-def word_set(spark: SparkSession, words: Iterable[str]) -> DataFrame:
+def word_set(spark: SparkSession, words: Sequence[str]) -> DataFrame:
     """A word list given in code.
 
     A short one is a literal, which the optimizer takes for small and broadcasts; one of more
@@ -65,13 +65,13 @@ def word_set(spark: SparkSession, words: Iterable[str]) -> DataFrame:
     return spark.range(1).select(F.explode(F.lit(distinct)).alias("word"))
 
 
-def is_small(words: DataFrame | Iterable[str], rows: int = BROADCAST_WORDS) -> bool:
+def is_small(words: DataFrame | Sequence[str], rows: int = BROADCAST_WORDS) -> bool:
     """Whether a word list has at most ``rows`` words and ``BROADCAST_BYTES`` bytes.
 
     For a DataFrame this counts up to ``rows + 1`` of its rows.
     """
     if not isinstance(words, DataFrame):
-        return len(list(words)) <= rows
+        return len(words) <= rows
     column = F.col(words.columns[0])
     found = (
         words.limit(rows + 1)
@@ -81,7 +81,7 @@ def is_small(words: DataFrame | Iterable[str], rows: int = BROADCAST_WORDS) -> b
     return found.n <= rows and (found.bytes or 0) <= BROADCAST_BYTES
 
 
-def literal_words(words: DataFrame | Iterable[str] | None, limit: int = LITERAL_WORDS):
+def literal_words(words: DataFrame | Sequence[str] | None, limit: int = LITERAL_WORDS):
     """The words as a Python list, or None if there are more than ``limit`` of them.
 
     Only a list that passed the size check reaches the driver.
@@ -95,6 +95,6 @@ def literal_words(words: DataFrame | Iterable[str] | None, limit: int = LITERAL_
     return list(words)
 
 
-def as_words(spark: SparkSession, words: DataFrame | Iterable[str]) -> DataFrame:
+def as_words(spark: SparkSession, words: DataFrame | Sequence[str]) -> DataFrame:
     """A word list given in either form, as a DataFrame."""
     return words if isinstance(words, DataFrame) else word_set(spark, words)
