@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wordloom.llm import suffix_dedup
+from wordloom.llm import near_dedup, suffix_dedup
 
 QUERIES = {
+    "op7_setsketch_near_dedup": near_dedup.query,
     "op8_suffix_array_dedup": suffix_dedup.query,
 }
 
