@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from wordloom.llm import near_dedup, suffix_dedup
+from wordloom.llm import near_dedup, sentencepiece_codec, suffix_dedup
 
 QUERIES = {
+    "op2_sentencepiece": sentencepiece_codec.query,
     "op7_setsketch_near_dedup": near_dedup.query,
     "op8_suffix_array_dedup": suffix_dedup.query,
 }
