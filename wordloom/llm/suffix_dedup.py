@@ -35,7 +35,7 @@ from wordloom.llm.shared import settled
 #: Length of the strings that are removed.
 LENGTH = 100
 #: Length of an anchor.
-SEED = 40
+SEED = 30
 #: Windows that are routed together in the second step.
 BLOCK = 16
 #: Anchors that a task gathers before it drops its own repeats.
@@ -356,6 +356,9 @@ def _sort_pieces(length: int):
     """Pieces sorted by (route, doc_id, first) to ranges of repeated windows."""
 
     def solve(block: pa.Table, poly: Poly) -> pa.RecordBatch:
+        sent = np.asarray(block.column("bytes").is_null())  # its task has sent the same piece
+        gone = [block.column(c).to_numpy()[sent].astype(np.int64) for c in ("doc_id", "first", "count")]
+        block = block.filter(pa.array(~sent)).combine_chunks()
         route = block.column("route").to_numpy()
         doc = block.column("doc_id").to_numpy()
         first = block.column("first").to_numpy()
@@ -375,8 +378,9 @@ def _sort_pieces(length: int):
         again = np.zeros(len(piece), bool)
         if len(piece):
             again = repeated_windows(data, at[piece] + step, segment, length, poly)
-        start = first[piece[again]] + step[again]
-        found = _unite(doc[piece[again]], start, start + length)
+        start = np.append(first[piece[again]] + step[again], gone[1])
+        end = np.append(first[piece[again]] + step[again], gone[1] + gone[2] - 1) + length
+        found = _unite(np.append(doc[piece[again]], gone[0]), start, end)
         return pa.RecordBatch.from_arrays(
             [pa.array(x) for x in found], names=["doc_id", "start", "end"]
         )
@@ -459,10 +463,9 @@ def remove_repeats(
     """
     if not 0 < seed <= length - 16 or length > 240:
         raise ValueError("need 0 < seed <= length - 16 and length <= 240")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    found = own.where(
-        F.col("doc_id").isNotNull() & (F.octet_length("text") >= length)
-    ).mapInArrow(_find_anchors(length, seed), _ANCHOR_SCHEMA)
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
+    own = every.where("doc_id is not null")
+    found = own.where(F.octet_length("text") >= length).mapInArrow(_find_anchors(length, seed), _ANCHOR_SCHEMA)
     by_route = Window.partitionBy("route").orderBy("context", "doc_id", "packed")
     whole = by_route.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ranked = found.select(
@@ -490,18 +493,10 @@ def remove_repeats(
     marks = settled(marks, "repeat-marks")
     borders = marks.where(F.size("borders") > 0).select("doc_id", "borders")
     cut = own.join(borders, "doc_id").mapInArrow(_cut_pieces(length, BLOCK), _PIECE_SCHEMA)
-    cut = settled(cut, "repeat-pieces")
-    local = cut.where(F.col("bytes").isNull()).select(
-        "doc_id", F.col("first").alias("start"), (F.col("first") + F.col("count") - 1 + length).alias("end")
-    )
-    solved = (
-        cut.where(F.col("bytes").isNotNull())
-        .repartition("route")
+    more = (
+        cut.repartition("route")
         .sortWithinPartitions("route", "doc_id", "first")
         .mapInArrow(_sort_pieces(length), "doc_id long, start long, end long")
-    )
-    more = (
-        solved.unionByName(local)
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("start", "end")).alias("more"))
     )
@@ -514,12 +509,13 @@ def remove_repeats(
         "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>,"
         " kept_sha256 string" + (", kept_bytes binary" if with_text else "")
     )
+    none = F.filter(empty, lambda x: x.isNotNull())
+    # the texts are shuffled by id once: both joins read the same exchange
     joined = own.join(ranges, "doc_id", "left").select(
-        "doc_id",
-        "text",
-        F.coalesce("ranges", F.filter(empty, lambda x: x.isNotNull())).alias("ranges"),
+        "doc_id", "text", F.coalesce("ranges", none).alias("ranges")
     )
-    return joined.mapInArrow(_digest(with_text), schema)
+    loose = every.where("doc_id is null").select("doc_id", "text", none.alias("ranges"))
+    return joined.unionByName(loose).mapInArrow(_digest(with_text), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
