@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from wordloom.llm import near_dedup, sentencepiece_codec, suffix_dedup
+from wordloom.llm import (
+    decontaminate,
+    near_dedup,
+    ordinal_quality,
+    sentencepiece_codec,
+    suffix_dedup,
+)
 
 QUERIES = {
     "op2_sentencepiece": sentencepiece_codec.query,
+    "op6_decontamination": decontaminate.query,
     "op7_setsketch_near_dedup": near_dedup.query,
     "op8_suffix_array_dedup": suffix_dedup.query,
+    "op10_ordinal_quality": ordinal_quality.query,
 }
 
 ORACLE: dict[str, str] = {}
