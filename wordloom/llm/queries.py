@@ -6,16 +6,22 @@ from wordloom.llm import (
     decontaminate,
     near_dedup,
     ordinal_quality,
+    quality_rules,
+    secrets,
     sentencepiece_codec,
     suffix_dedup,
 )
 
 QUERIES = {
+    "op1_secret_scan": secrets.query,
     "op2_sentencepiece": sentencepiece_codec.query,
+    "op3_quality_outliers": quality_rules.query,
     "op6_decontamination": decontaminate.query,
     "op7_setsketch_near_dedup": near_dedup.query,
     "op8_suffix_array_dedup": suffix_dedup.query,
     "op10_ordinal_quality": ordinal_quality.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_secret_scan": secrets.ORACLE,
+}
