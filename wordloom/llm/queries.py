@@ -10,12 +10,14 @@ from wordloom.llm import (
     secrets,
     sentencepiece_codec,
     suffix_dedup,
+    warc,
 )
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
     "op2_sentencepiece": sentencepiece_codec.query,
     "op3_quality_outliers": quality_rules.query,
+    "op4_warc": warc.query,
     "op6_decontamination": decontaminate.query,
     "op7_setsketch_near_dedup": near_dedup.query,
     "op8_suffix_array_dedup": suffix_dedup.query,
@@ -24,4 +26,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op1_secret_scan": secrets.ORACLE,
+    "op4_warc": warc.ORACLE,
 }
