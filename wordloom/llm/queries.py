@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from wordloom.llm import (
     decontaminate,
+    html_text,
     near_dedup,
     ordinal_quality,
     quality_rules,
     secrets,
     sentencepiece_codec,
     suffix_dedup,
+    url_filter,
     warc,
 )
 
@@ -18,9 +20,11 @@ QUERIES = {
     "op2_sentencepiece": sentencepiece_codec.query,
     "op3_quality_outliers": quality_rules.query,
     "op4_warc": warc.query,
+    "op5_url_filter": url_filter.query,
     "op6_decontamination": decontaminate.query,
     "op7_setsketch_near_dedup": near_dedup.query,
     "op8_suffix_array_dedup": suffix_dedup.query,
+    "op9_html_templates": html_text.query,
     "op10_ordinal_quality": ordinal_quality.query,
 }
 
