@@ -24,9 +24,19 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
 
 
-def all_word_stripes(distance: int, preagg: str):
+#: Parts of a stripe over all words.
+PARTS = 16
+
+
+def all_word_stripes(distance: int):
     return lambda spark, sf: op.all_word_stripes(
-        q.documents(spark, sf), distance, q.SHORT_STOPWORDS, preagg=preagg
+        q.documents(spark, sf), distance, q.SHORT_STOPWORDS, parts=PARTS
+    )
+
+
+def all_word_stripes_sweep(spark, sf):
+    return op.all_word_stripes_sweep(
+        q.documents(spark, sf), (1, 2, 3, 4), q.SHORT_STOPWORDS, parts=PARTS
     )
 
 
@@ -34,25 +44,21 @@ def vocabulary_stripes(distance: int):
     def run(spark, sf):
         docs = q.documents(spark, sf)
         vocabulary = q.plans.frequent_words(docs, 50, q.SHORT_STOPWORDS)
-        return op.vocabulary_stripes(
-            docs, distance, vocabulary, max_entries=None, small_lists=True
-        )
+        return op.vocabulary_stripes(docs, distance, vocabulary, small_lists=True)
 
     return run
 
 
 BENCH = {
     "top_words": q.top_words,
-    **{
-        f"pairs_{mode}_d{d}": q.pairs_query(d, preagg=mode)
-        for mode in ("combiner", "none", "mapclass")
-        for d in (1, 2, 3, 4)
-    },
+    **{f"pairs_d{d}": q.pairs_query(d) for d in (1, 2, 3, 4)},
     "pairs_sweep_d1_to_d4": q.cooc_pairs_sweep,
     **{f"stripes_vocabulary_d{d}": vocabulary_stripes(d) for d in (1, 2, 3, 4)},
-    **{f"stripes_all_words_d{d}": all_word_stripes(d, "combiner") for d in (1, 2, 3, 4)},
-    **{f"stripes_all_words_mapclass_d{d}": all_word_stripes(d, "mapclass") for d in (1, 2, 3, 4)},
+    "stripes_vocabulary_sweep_d1_to_d4": q.cooc_stripes_sweep,
+    **{f"stripes_all_words_d{d}": all_word_stripes(d) for d in (1, 2, 3, 4)},
+    "stripes_all_words_sweep_d1_to_d4": all_word_stripes_sweep,
     "doc_freq": q.doc_freq,
+    "doc_freq_stopword_table": q.doc_freq_stopword_table,
     "tfidf": q.tfidf,
 }
 

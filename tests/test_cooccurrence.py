@@ -7,7 +7,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wordloom import operators as op
-from wordloom.operators import cooccurrence
 
 LINE = "New York city, York city."
 VOCABULARY = ["york", "city"]
@@ -58,7 +57,7 @@ def test_scope(texts, end):
 
 def test_empty_stripes(texts):
     docs = texts("hello", "a b", None, "stop")
-    stripes = op.all_word_stripes(docs, 1, ["stop"])
+    stripes = op.all_word_stripes(docs, 1, ["stop"], parts=1)
     assert stripe_dict(stripes) == {"hello": {}, "a": {"b": 1}, "b": {"a": 1}}
     assert stripe_dict(op.vocabulary_stripes(docs, 1, ["hello", "a", "b"])) == {
         "a": {"b": 1},
@@ -77,8 +76,8 @@ def test_arguments(texts):
     for bad in (0, -1, 1.5, "2"):
         with pytest.raises(ValueError, match="distance"):
             op.cooccurrence_pairs(docs, bad)
-    with pytest.raises(ValueError, match="preagg"):
-        op.cooccurrence_pairs(docs, 1, preagg="reduce")
+    with pytest.raises(ValueError, match="parts"):
+        op.all_word_stripes(docs, 1, parts=0)
     with pytest.raises(ValueError, match="scope"):
         op.cooccurrence_pairs(docs, 1, scope="page")
 
@@ -131,7 +130,7 @@ def test_pairs_and_stripes_against_brute_force(texts, d, skewed):
     assert all(expected[n, w] == c for (w, n), c in expected.items())
 
     expected, seen = brute_force(docs, d, "nonword", None, ["of"])
-    stripes = op.all_word_stripes(table, d, ["of"])
+    stripes = op.all_word_stripes(table, d, ["of"], parts=1)
     assert counts(op.stripes_to_pairs(stripes)) == expected
     assert set(stripe_dict(stripes)) == seen
 
@@ -149,19 +148,10 @@ def test_the_size_of_the_lists_changes_no_result(spark, texts, monkeypatch):
             assert counts(pairs) == expected
         sweep = op.cooccurrence_sweep(table, [3], listed, stopwords, small_lists=small)
         assert {(r.word, r.neighbor): r.cnt_d3 for r in sweep.collect()} == expected
-    expected = stripe_dict(op.all_word_stripes(table, 2, ["of", "the"], small_lists=True))
-    assert stripe_dict(op.all_word_stripes(table, 2, ["of", "the"], small_lists=False)) == expected
-
-
-@pytest.mark.parametrize("preagg", cooccurrence.PREAGGREGATION)
-def test_local_aggregation_changes_no_result(texts, preagg, monkeypatch):
-    monkeypatch.setattr(cooccurrence, "MAPCLASS_ROWS", 5)
-    docs = corpus(3, True)
-    table = texts(*docs)
-    expected, _ = brute_force(docs, 3, "alnum")
-    assert counts(op.cooccurrence_pairs(table, 3, preagg=preagg)) == expected
-    stripes = op.all_word_stripes(table, 3, ["of"], preagg=preagg)
-    assert stripe_dict(stripes) == stripe_dict(op.all_word_stripes(table, 3, ["of"]))
+    small, large = (
+        stripe_dict(op.all_word_stripes(table, 2, ["of", "the"], parts=1, small_lists=x)) for x in (True, False)
+    )
+    assert small == large
 
 
 def test_sweep_columns_equal_single_runs(texts):
@@ -211,56 +201,52 @@ def test_three_forms_of_the_window_agree(texts, spark):
 # --- stripes ------------------------------------------------------------------------------
 
 
-def test_wide_stripes_are_split_without_loss(spark, texts):
+def test_parts_hold_all_of_a_stripe(spark, texts):
     # "hub" has 200 neighbors, more than a third of all pairs; the others have few.
     table = texts(*[f"hub w{i}" for i in range(200)], "lone", "p q", "hub")
-    whole = op.all_word_stripes(table, 1)
-    split = op.all_word_stripes(table, 1, max_entries=10)
+    whole = op.all_word_stripes(table, 1, parts=1)
+    split = op.all_word_stripes(table, 1, parts=20)
     assert counts(op.stripes_to_pairs(split)) == counts(op.stripes_to_pairs(whole))
     parts = split.collect()
     hub = [r for r in parts if r.word == "hub"]
-    assert len(hub) == 20 and {r.part for r in hub} <= set(range(20))
+    assert {r.part for r in hub} == set(range(20))
     assert max(len(r.entries) for r in hub) < 30
-    assert all(r.entries for r in hub)
-    assert [len(r.entries) for r in parts if r.word == "lone"] == [0]
-    assert all(r.part == 0 for r in parts if r.word != "hub")
+    assert {r.word for r in parts} == {r.word for r in parts if r.part == 0}
+    assert all(r.entries or r.part == 0 for r in parts)
+    assert [r.word for r in op.isolated_words(split).collect()] == ["lone"]
     for r in parts:
         names = [e.neighbor for e in r.entries]
         assert names == sorted(names)
+    assert all(r.part == 0 for r in whole.collect())
 
 
-def test_wide_stripes_without_static_broadcast(spark, texts, capsys):
-    """The same where table sizes rule out a broadcast at planning time."""
-    table = texts(*[f"hub w{i}" for i in range(200)], "lone")
-
-    def parts(max_entries):
-        stripes = op.all_word_stripes(table, 1, max_entries=max_entries)
-        rows = {(r.word, r.part): r.entries for r in stripes.collect()}
-        stripes.explain()
-        return rows, capsys.readouterr().out.split("== Initial Plan ==")[0]
-
-    expected, _ = parts(10)
-    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    for name, value in zip(names, ["-1", "10MB"]):
-        spark.conf.set(name, value)
-    try:
-        got, plan = parts(10)
-        assert got == expected
-        # The wide words turn out to be few, and the pairs are read where they are.
-        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-        _, plan = parts(1000)
-        assert "Join" not in plan
-    finally:
-        for name in names:
-            spark.conf.unset(name)
+@pytest.mark.parametrize("parts", [1, 3])
+def test_stripe_sweeps_equal_single_runs(texts, parts):
+    table = texts(*corpus(6, True))
+
+    def dicts(df):
+        return {(r.word, r.part): {e.neighbor: e.cnt for e in r.entries} for r in df.collect()}
+
+    def at(sweep, d):
+        entries = op.stripe_at(F.col("entries"), f"cnt_d{d}").alias("entries")
+        return dicts(sweep.select("word", "part", entries))
+
+    everything = op.all_word_stripes_sweep(table, (1, 2, 4), ["of"], parts=parts)
+    vocabulary = op.vocabulary_stripes_sweep(table, (1, 2, 4), ["alpha", "the", "7"], parts=parts)
+    for d in (1, 2, 4):
+        single = dicts(op.all_word_stripes(table, d, ["of"], parts=parts))
+        swept = at(everything, d)
+        assert {k: v for k, v in swept.items() if v or k[1] == 0} == single
+        single = dicts(op.vocabulary_stripes(table, d, ["alpha", "the", "7"], parts=parts))
+        assert {k: v for k, v in at(vocabulary, d).items() if v} == single
 
 
 def test_stripe_maps_and_merge(texts):
-    first = op.all_word_stripes(texts("a b", "a c", "x"), 1)
-    second = op.all_word_stripes(texts("b a", "y"), 1)
+    first = op.all_word_stripes(texts("a b", "a c", "x"), 1, parts=1)
+    second = op.all_word_stripes(texts("b a", "y"), 1, parts=2)
     maps = {r.word: r.stripe for r in op.stripe_maps(first).collect()}
     assert maps == {"a": {"b": 1, "c": 1}, "b": {"a": 1}, "c": {"a": 1}, "x": {}}
-    assert stripe_dict(op.merge_stripes(first, second)) == {
+    assert stripe_dict(op.merge_stripes(first, second, parts=1)) == {
         "a": {"b": 2, "c": 1},
         "b": {"a": 2},
         "c": {"a": 1},

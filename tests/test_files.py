@@ -89,7 +89,7 @@ def test_vocabulary(spark, folder, rows):
 
 def test_an_empty_vocabulary_is_an_error(spark, folder):
     with pytest.raises(ValueError, match="empty"):
-        sources.read_vocabulary(spark, folder(words__txt="\n\n"))
+        sources.read_checked_vocabulary(spark, folder(words__txt="\n\n"))
 
 
 def test_a_missing_file_is_an_error(spark, tmp_path):
@@ -100,26 +100,20 @@ def test_a_missing_file_is_an_error(spark, tmp_path):
 def test_a_long_list_in_code(spark, rows):
     words = [f"w{i}" for i in range(sources.wordlists.LITERAL_WORDS + 1)]
     assert rows(sources.word_set(spark, words)) == sorted((w,) for w in words)
-    assert sources.literal_words(words) is None
 
 
 def test_size_check(spark, monkeypatch):
-    words = sources.word_set(spark, ["a", "b", "c"])
-    assert sources.is_small(words, 3) and not sources.is_small(words, 2)
-    assert sources.is_small(["a", "b"], 2) and not sources.is_small(["a", "b"], 1)
-    assert sources.is_small(words.limit(0), 0)
-    monkeypatch.setattr(sources.wordlists, "BROADCAST_BYTES", 2)
-    assert not sources.is_small(words, 3)
+    assert sources.are_few(["a", "b"])
+    assert not sources.are_few(sources.word_set(spark, ["a"]))
+    monkeypatch.setattr(sources.wordlists, "FEW_BYTES", 2)
+    assert sources.are_few(["a", "b"]) and not sources.are_few(["a", "bc"])
+    monkeypatch.setattr(sources.wordlists, "FEW_WORDS", 1)
+    assert not sources.are_few(["a", "b"])
 
 
-def test_word_set_and_literal_words(spark, rows):
+def test_word_set(spark, rows):
     assert rows(sources.word_set(spark, ["b", "a", "b", ""])) == [("a",), ("b",)]
     assert rows(sources.word_set(spark, [])) == []
-    words = sources.word_set(spark, ["a", "b", "c"])
-    assert sorted(sources.literal_words(words, limit=3)) == ["a", "b", "c"]
-    assert sources.literal_words(words, limit=2) is None
-    assert sources.literal_words(["a"], limit=2) == ["a"]
-    assert sources.literal_words(None) == []
 
 
 # --- document-frequency tables ------------------------------------------------------------
@@ -150,11 +144,19 @@ def test_pairs_and_counts(spark, texts, tmp_path):
 
 
 def test_stripes(spark, texts, tmp_path):
-    stripes = op.all_word_stripes(texts("b a", "b c", "d"), 1)
+    stripes = op.all_word_stripes(texts("b a", "b c", "d"), 1, parts=1)
     sinks.write_stripes(stripes, str(tmp_path / "s"), ordered=True)
     assert read_back(spark, str(tmp_path / "s")) == ["a\t{b=1}", "b\t{a=1, c=1}", "c\t{b=1}", "d\t{}"]
 
 
+def test_stripes_in_parts_name_the_part(spark, texts, tmp_path):
+    stripes = op.all_word_stripes(texts("b a", "b c", "d"), 1, parts=2)
+    sinks.write_stripes(stripes, str(tmp_path / "s"), parts=2)
+    fields = [line.split("\t") for line in read_back(spark, str(tmp_path / "s"))]
+    assert {f[0] for f in fields if f[1] == "0"} == {"a", "b", "c", "d"}
+    assert "".join(f[2].strip("{}") for f in fields if f[0] == "d") == ""
+
+
 def test_scores_and_modes(spark, texts, tmp_path):
     table = spark.createDataFrame([("hous", 2)], "term string, df bigint")
     path = str(tmp_path / "t")

@@ -5,9 +5,9 @@ from contextlib import redirect_stdout
 
 import pytest
 
-import __spark_entry__ as contract
 from wordloom import operators as op
 from wordloom import plans, sources
+from wordloom.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -19,18 +19,41 @@ def plan(df):
     return out.getvalue()
 
 
+def jobs_so_far(spark):
+    """Jobs that have run, but for the short ones in which Spark reads a table's schema."""
+    tracker = spark.sparkContext.statusTracker()
+    return {
+        job
+        for job in tracker.getJobIdsForGroup(None)
+        if any(
+            "parquet at" not in (tracker.getStageInfo(s) or _NO_STAGE).name
+            for s in tracker.getJobInfo(job).stageIds
+        )
+    }
+
+
+class _NO_STAGE:
+    name = "parquet at"
+
+
+def executed(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
 @pytest.fixture
 def docs(spark):
     return spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_jvm_only_and_no_nested_loops(spark, name):
-    if name.endswith("roundtrip"):
-        pytest.skip("reads a written file")
-    text = plan(contract.queries()[name](spark, FOLDER))
+    before = jobs_so_far(spark)
+    df = QUERIES[name](spark, FOLDER)
+    assert jobs_so_far(spark) == before, "a job ran while the plan was built"
+    text = plan(df)
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
-    assert ("MapInArrow" in text) == name.endswith("mapclass")
+    assert "MapInArrow" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
@@ -75,12 +98,29 @@ def test_document_frequency_of_whole_rows_has_one_shuffle(docs):
     assert text.count("Exchange") == 2
 
 
-def test_scores_filter_before_the_count(docs):
+def test_scores_join_the_table_once_and_before_the_count(docs):
     text = plan(plans.frequent_term_scores(docs, one_row_per_document=True))
     lines = text.splitlines()
-    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    joins = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line]
     tf = next(i for i, line in enumerate(lines) if "hashpartitioning(doc_id" in line)
-    assert tf < semi
+    assert len(joins) == 1 and tf < joins[0]
+    assert text.count("TakeOrderedAndProject") == 1
+
+
+def test_top_lists_are_broadcast_as_executed(docs):
+    text = executed(plans.frequent_term_scores(docs, one_row_per_document=True))
+    assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in text
+    text = executed(plans.frequent_word_pairs(docs, 2))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_stripes_need_two_shuffles_and_no_join(spark, docs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(op.all_word_stripes(docs, 1, parts=8))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange") == 2 and "Join" not in text
 
 
 def test_a_table_of_many_splits_is_not_shuffled(spark, tmp_path, texts):

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from wordloom.plans.oracle import ORACLE
+from wordloom.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -21,13 +23,15 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, database, name):
-    df = contract.queries()[name](spark, FOLDER)
-    relation = database.sql(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    relation = database.sql(ORACLE[name])
     columns = sorted(df.columns)
     assert columns == sorted(relation.columns)
     order = [relation.columns.index(c) for c in columns]

@@ -6,7 +6,6 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from wordloom.operators.cooccurrence import PREAGGREGATION
 from wordloom.operators.frequency import DEFAULT_DOCUMENTS
 from wordloom.plans import jobs
 
@@ -26,18 +25,24 @@ def parser() -> argparse.ArgumentParser:
         "--k", type=int, default=50
     )
     pairs = job("pairs", jobs.pairs, "corpus", "out", "vocabulary")
+    frequent = job("frequent-pairs", jobs.frequent_pairs, "corpus", "out", "stopwords")
     stripes = job("stripes", jobs.stripes, "corpus", "out", "vocabulary", "stopwords")
     every = job("all-word-stripes", jobs.all_word_stripes, "corpus", "out", "stopwords")
-    for command in (pairs, stripes, every):
+    for command in (pairs, frequent, stripes, every):
         command.add_argument("distance", type=int)
-    for command in (pairs, every):
-        command.add_argument("--preagg", choices=PREAGGREGATION, default="combiner")
+    frequent.add_argument("--k", type=int, default=50)
+    every.add_argument("--parts", type=int, default=1)
     df = job("document-frequency", jobs.document_frequency, "corpus", "out", "stopwords")
     job("top-terms", jobs.top_terms, "df_table", "out").add_argument("--k", type=int, default=100)
     tfidf = job("tf-idf", jobs.tf_idf, "corpus", "out", "df_table")
-    tfidf.add_argument("--n-documents", type=int, default=DEFAULT_DOCUMENTS)
-    for command in (df, tfidf):
+    scores = job("frequent-term-scores", jobs.frequent_term_scores, "corpus", "out", "stopwords")
+    scores.add_argument("--k", type=int, default=100)
+    for command in (tfidf, scores):
+        command.add_argument("--n-documents", type=int, default=DEFAULT_DOCUMENTS)
+    for command in (df, tfidf, scores):
         command.add_argument("--max-line-bytes", type=int)
+    for command in (pairs, frequent, stripes, every, df, tfidf, scores):
+        command.add_argument("--ordered", action="store_true", help="sort the result")
     return top
 
 

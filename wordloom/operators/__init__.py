@@ -1,14 +1,18 @@
-"""DataFrame operators; all are lazy and return DataFrames."""
+"""DataFrame operators; they build plans, start no job and return DataFrames."""
 
 from wordloom.operators.cooccurrence import (
     all_word_stripes,
+    all_word_stripes_sweep,
     cooccurrence_pairs,
     cooccurrence_sweep,
+    isolated_words,
     merge_stripes,
+    stripe_at,
     stripe_maps,
     stripes,
     stripes_to_pairs,
     vocabulary_stripes,
+    vocabulary_stripes_sweep,
     window_pairs,
 )
 from wordloom.operators.frequency import (
@@ -31,15 +35,18 @@ from wordloom.operators.words import (
 
 __all__ = [
     "all_word_stripes",
+    "all_word_stripes_sweep",
     "cooccurrence_pairs",
     "cooccurrence_sweep",
     "corpus_counters",
     "document_frequency",
     "document_terms",
     "drop_words",
+    "isolated_words",
     "keep_words",
     "merge_stripes",
     "stems",
+    "stripe_at",
     "stripe_maps",
     "stripes",
     "stripes_to_pairs",
@@ -50,6 +57,7 @@ __all__ = [
     "top_terms",
     "top_words",
     "vocabulary_stripes",
+    "vocabulary_stripes_sweep",
     "window_pairs",
     "word_count",
 ]

@@ -14,15 +14,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.text import line_array, token_array
 from wordloom.operators.words import drop_words, keep_words
-from wordloom.sources.wordlists import is_small
-
-PREAGGREGATION = ("none", "combiner", "mapclass")
-
-# A stripe of more entries is written in several parts.
-MAX_STRIPE_ENTRIES = 100_000
-
-# Rows a task holds at most in the "mapclass" mode before it passes its counts on.
-MAPCLASS_ROWS = 1_000_000
+from wordloom.sources.wordlists import are_few
 
 
 def _check_distance(distance: int) -> None:
@@ -33,14 +25,14 @@ def _check_distance(distance: int) -> None:
 def _are_small(vocabulary, stopwords, small: bool | None) -> bool:
     if small is not None:
         return small
-    return all(is_small(words) for words in (vocabulary, stopwords) if words is not None)
+    return all(are_few(words) for words in (vocabulary, stopwords) if words is not None)
 
 
-def _filter(rows: DataFrame, column: str, vocabulary, stopwords, small: bool) -> DataFrame:
+def _filter(rows: DataFrame, column: str, vocabulary, stopwords) -> DataFrame:
     if vocabulary is not None:
-        rows = keep_words(rows, vocabulary, column, small)
+        rows = keep_words(rows, vocabulary, column)
     if stopwords is not None:
-        rows = drop_words(rows, stopwords, column, small)
+        rows = drop_words(rows, stopwords, column)
     return rows
 
 
@@ -52,7 +44,6 @@ def window_pairs(
     tokenizer: str = "alnum",
     scope: str = "line",
     text: str = "text",
-    small_lists: bool = False,
     with_words: bool = False,
 ) -> DataFrame:
     """``(word, neighbor, offset)``: each token with each of the ``distance`` tokens after it.
@@ -64,7 +55,6 @@ def window_pairs(
     The token array, zipped with itself shifted by 1 .. distance, yields every window in one
     generator, so no shuffle or sort comes before the count, and a row carries ``distance``
     tokens however long its line is. The first filter runs before the neighbors are expanded.
-    ``small_lists`` broadcasts the vocabulary and the stopwords.
     """
     _check_distance(distance)
     if scope == "line":
@@ -82,7 +72,7 @@ def window_pairs(
         .select(F.col("z.t0").alias("word"), *(f"z.t{k}" for k in range(1, distance + 1)))
         .where(F.col("word") != "")
     )
-    centres = _filter(centres, "word", vocabulary, stopwords, small_lists)
+    centres = _filter(centres, "word", vocabulary, stopwords)
 
     after = [F.col(f"t{k}") for k in range(1, distance + 1)]
     if with_words:
@@ -98,7 +88,7 @@ def window_pairs(
         pairs = centres.select("word", window.alias("step", "neighbor"))
         pairs = pairs.where(F.col("neighbor") != "")
         pairs = pairs.select("word", "neighbor", (F.col("step") + 1).alias("offset"))
-    return _filter(pairs, "neighbor", vocabulary, stopwords, small_lists)
+    return _filter(pairs, "neighbor", vocabulary, stopwords)
 
 
 def _unordered(pairs: DataFrame, *more) -> DataFrame:
@@ -132,69 +122,22 @@ def _mirrored(counts: DataFrame, columns: list[str]) -> DataFrame:
     return counts.select(F.explode_outer(rows).alias("r")).select("r.*")
 
 
-def _count_inside_tasks(rows: int):
-    """For ``mapInArrow``: count equal (a, b) in the task, passing on at most ``rows`` at a time."""
-
-    def count(batches):
-        import pyarrow as pa
-
-        def merge(tables):
-            table = pa.concat_tables(tables).group_by(["a", "b"]).aggregate([("cnt", "sum")])
-            return table.rename_columns(["a", "b", "cnt"])
-
-        held, pending = [], 0
-        for batch in batches:
-            table = pa.Table.from_batches([batch]).group_by(["a", "b"])
-            held.append(table.aggregate([([], "count_all")]).rename_columns(["a", "b", "cnt"]))
-            pending += held[-1].num_rows
-            if pending >= rows:
-                merged = merge(held)
-                held, pending = [merged], merged.num_rows
-                # Little was gained by merging: pass the counts on and start afresh.
-                if pending >= rows // 2:
-                    yield from merged.to_batches()
-                    held, pending = [], 0
-        if held:
-            yield from merge(held).to_batches()
-
-    return count
-
-
-def _count(pairs: DataFrame, preagg: str) -> DataFrame:
-    """``(a, b, cnt)`` by one of three local aggregation strategies, with equal results.
-
-    combiner  Spark's partial aggregate in each task, then the final one
-    none      every pair crosses the network uncounted, spread evenly; counting starts behind
-              the shuffle, in two steps, so that a hot pair is no hot partition
-    mapclass  counts held for the whole task in bounded memory, then summed
-    """
-    pairs = _unordered(pairs)
-    if preagg == "combiner":
-        return pairs.groupBy("a", "b").agg(F.count("*").alias("cnt"))
-    if preagg == "none":
-        parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return pairs.repartition(parts).groupBy("a", "b").agg(F.count("*").alias("cnt"))
-    if preagg == "mapclass":
-        counted = pairs.mapInArrow(
-            _count_inside_tasks(MAPCLASS_ROWS), "a string, b string, cnt bigint"
-        )
-        return counted.groupBy("a", "b").agg(F.sum("cnt").alias("cnt"))
-    raise ValueError(f"unknown preagg {preagg!r}")
+def _count(pairs: DataFrame) -> DataFrame:
+    """``(a, b, cnt)``. Counts are partial in each task first, so a hot pair is a row per task."""
+    return _unordered(pairs).groupBy("a", "b").agg(F.count("*").alias("cnt"))
 
 
 def _counted_pairs(texts, distance, vocabulary, stopwords, small_lists, count, **window):
     """Unordered pairs of listed words, counted by ``count``, with the lists at the right place.
 
-    Small lists are broadcast and filter the tokens before they are paired. Other lists join
-    the counts: one row per distinct pair is shuffled to them, not one per occurrence.
+    Small lists filter the tokens before they are paired. Other lists join the counts: one row
+    per distinct pair is shuffled to them, not one per occurrence.
     """
     if _are_small(vocabulary, stopwords, small_lists):
-        return count(
-            window_pairs(texts, distance, vocabulary, stopwords, small_lists=True, **window)
-        )
+        return count(window_pairs(texts, distance, vocabulary, stopwords, **window))
     counts = count(window_pairs(texts, distance, **window))
-    counts = _filter(counts, "a", vocabulary, stopwords, False)
-    return _filter(counts, "b", vocabulary, stopwords, False)
+    counts = _filter(counts, "a", vocabulary, stopwords)
+    return _filter(counts, "b", vocabulary, stopwords)
 
 
 def cooccurrence_pairs(
@@ -204,25 +147,22 @@ def cooccurrence_pairs(
     stopwords=None,
     tokenizer: str = "alnum",
     scope: str = "line",
-    preagg: str = "combiner",
     text: str = "text",
     small_lists: bool | None = None,
 ) -> DataFrame:
     """``(word, neighbor, cnt)`` for both directions of every co-occurring pair.
 
-    With a vocabulary both words must be in it; with stopwords neither may be one. Lists of
-    unknown size are counted first, up to a bound; ``small_lists`` saves that where the answer
-    is known (a top-k list is small).
+    With a vocabulary both words must be in it; with stopwords neither may be one. A list given
+    in code is known to be small or not; one given as a DataFrame counts as large unless
+    ``small_lists`` says otherwise (a top-k list is small). No join is forced to broadcast.
     """
-    if preagg not in PREAGGREGATION:
-        raise ValueError(f"preagg must be one of {', '.join(PREAGGREGATION)}, not {preagg!r}")
     counts = _counted_pairs(
         texts,
         distance,
         vocabulary,
         stopwords,
         small_lists,
-        lambda pairs: _count(pairs, preagg),
+        _count,
         tokenizer=tokenizer,
         scope=scope,
         text=text,
@@ -230,17 +170,7 @@ def cooccurrence_pairs(
     return _mirrored(counts, ["cnt"])
 
 
-def cooccurrence_sweep(
-    texts: DataFrame,
-    distances=(1, 2, 3, 4),
-    vocabulary=None,
-    stopwords=None,
-    tokenizer: str = "alnum",
-    scope: str = "line",
-    text: str = "text",
-    small_lists: bool | None = None,
-) -> DataFrame:
-    """``(word, neighbor, cnt_d<k> ...)`` for several distances, in one pass over the text."""
+def _sweep(texts, distances, vocabulary, stopwords, small_lists, **window) -> DataFrame:
     distances = sorted(set(distances))
     for distance in distances:
         _check_distance(distance)
@@ -253,56 +183,43 @@ def cooccurrence_sweep(
         stopwords,
         small_lists,
         lambda pairs: _unordered(pairs, "offset").groupBy("a", "b").agg(*within),
-        tokenizer=tokenizer,
-        scope=scope,
-        text=text,
+        **window,
     )
     return _mirrored(counts, columns)
 
 
-def _part(neighbor, parts):
-    """Which of ``parts`` parts a neighbor belongs to, by a stable hash; 0 where there is one."""
-    bucket = F.conv(F.substring(F.md5(neighbor.cast("binary")), 1, 8), 16, 10).cast("bigint")
-    return F.when(parts.isNull(), F.lit(0)).otherwise(F.pmod(bucket, parts)).cast("int")
+def cooccurrence_sweep(
+    texts: DataFrame,
+    distances=(1, 2, 3, 4),
+    vocabulary=None,
+    stopwords=None,
+    tokenizer: str = "alnum",
+    scope: str = "line",
+    text: str = "text",
+    small_lists: bool | None = None,
+) -> DataFrame:
+    """``(word, neighbor, cnt_d<k> ...)`` for several distances, in one pass over the text."""
+    return _sweep(
+        texts, distances, vocabulary, stopwords, small_lists, tokenizer=tokenizer, scope=scope, text=text
+    )
 
 
-def stripes(pairs: DataFrame, max_entries: int | None = MAX_STRIPE_ENTRIES) -> DataFrame:
-    """``(word, part, entries)``: per word the array of (neighbor, cnt), neighbors ascending.
+def stripes(pairs: DataFrame, parts: int = 1) -> DataFrame:
+    """``(word, part, entries)``: per word the array of (neighbor, counts ...), neighbors ascending.
 
-    A word of more than ``max_entries`` neighbors is split by a hash of the neighbor into
-    parts of about that size, so no row and no group grows with the corpus. Other words have
-    the one part 0. ``None`` splits nothing; it is for pairs over a vocabulary, whose size bounds
-    the stripes. A row with a NULL neighbor gives the word an empty stripe if it has no other.
+    Every word's neighbors are spread over ``parts`` parts by a hash of the neighbor, whatever
+    the size of the data. One part is right over a vocabulary, whose size bounds the stripes;
+    over all words take the number of distinct words / 100,000, so that a part stays a bounded
+    row. A row with a NULL neighbor stands for the word itself and gives it a part 0, empty if no
+    neighbor falls there; a part without entries is otherwise absent.
     """
-    entry = F.when(F.col("neighbor").isNotNull(), F.struct("neighbor", "cnt")).alias("entry")
-    if max_entries is None:
-        placed = pairs.select("word", F.lit(0).alias("part"), entry)
-    else:
-        # The sum keeps ``cnt`` in this branch, which makes its shuffle the same as that of
-        # the other one, and Spark reuses it. Counts are positive, so it decides nothing.
-        sizes = pairs.groupBy("word").agg(F.count("neighbor").alias("n"), F.sum("cnt").alias("s"))
-        # Wide words are few. The rebalancing shuffle after the filter lets the adaptive planner
-        # see how few: it broadcasts them up to its threshold, and with none it drops the join.
-        wide = (
-            sizes.where((F.col("n") > max_entries) & (F.col("s") > 0))
-            .select(
-                F.col("word").alias("wide_word"),
-                F.ceil(F.col("n") / F.lit(max_entries)).cast("bigint").alias("parts"),
-            )
-            .hint("rebalance")
-        )
-        placed = (
-            pairs.join(wide, F.col("word") == F.col("wide_word"), "left")
-            # A wide word has neighbors, so its marker for an empty stripe goes.
-            .where(F.col("neighbor").isNotNull() | F.col("parts").isNull())
-            .select(
-                "word",
-                _part(F.col("neighbor"), F.col("parts")).alias("part"),
-                entry,
-            )
-            # The join leaves all parts of a word in one partition; spread them.
-            .repartition("word", "part")
-        )
+    if not isinstance(parts, int) or parts < 1:
+        raise ValueError(f"parts must be an integer of at least 1, not {parts!r}")
+    counts = [c for c in pairs.columns if c not in ("word", "neighbor")]
+    entry = F.when(F.col("neighbor").isNotNull(), F.struct("neighbor", *counts)).alias("entry")
+    bucket = F.conv(F.substring(F.md5(F.col("neighbor").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    part = F.coalesce(F.pmod(bucket, F.lit(parts)), F.lit(0)) if parts > 1 else F.lit(0)
+    placed = pairs.select("word", part.cast("int").alias("part"), entry)
     return placed.groupBy("word", "part").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
 
 
@@ -312,26 +229,40 @@ def vocabulary_stripes(
     vocabulary,
     stopwords=None,
     scope: str = "line",
-    preagg: str = "combiner",
     text: str = "text",
-    max_entries: int | None = MAX_STRIPE_ENTRIES,
+    parts: int = 1,
     small_lists: bool | None = None,
 ) -> DataFrame:
     """Stripes over a vocabulary without its stopwords; a word with no neighbor has no row."""
-    pairs = cooccurrence_pairs(
-        texts, distance, vocabulary, stopwords, "alnum", scope, preagg, text, small_lists
-    )
-    return stripes(pairs, max_entries)
+    pairs = cooccurrence_pairs(texts, distance, vocabulary, stopwords, "alnum", scope, text, small_lists)
+    return stripes(pairs, parts)
+
+
+def vocabulary_stripes_sweep(
+    texts: DataFrame,
+    distances,
+    vocabulary,
+    stopwords=None,
+    scope: str = "line",
+    text: str = "text",
+    parts: int = 1,
+    small_lists: bool | None = None,
+) -> DataFrame:
+    """Stripes for several distances from one pass: entries (neighbor, cnt_d<k> ...).
+
+    A neighbor that only a larger distance reaches has count 0 at the smaller ones.
+    """
+    return stripes(cooccurrence_sweep(texts, distances, vocabulary, stopwords, "alnum", scope, text, small_lists), parts)
 
 
 def all_word_stripes(
     texts: DataFrame,
     distance: int,
     stopwords=None,
+    *,
+    parts: int,
     scope: str = "line",
-    preagg: str = "combiner",
     text: str = "text",
-    max_entries: int = MAX_STRIPE_ENTRIES,
     small_lists: bool | None = None,
 ) -> DataFrame:
     """Stripes of every word that is no stopword; a word with no neighbor has an empty one."""
@@ -341,32 +272,64 @@ def all_word_stripes(
         None,
         stopwords,
         small_lists,
-        lambda pairs: _count(pairs, preagg),
+        _count,
         tokenizer="nonword",
         scope=scope,
         text=text,
         with_words=True,
     )
-    return stripes(_mirrored(counts, ["cnt"]), max_entries)
+    return stripes(_mirrored(counts, ["cnt"]), parts)
+
+
+def all_word_stripes_sweep(
+    texts: DataFrame,
+    distances,
+    stopwords=None,
+    *,
+    parts: int,
+    scope: str = "line",
+    text: str = "text",
+    small_lists: bool | None = None,
+) -> DataFrame:
+    """Stripes of every word for several distances, as in ``vocabulary_stripes_sweep``."""
+    pairs = _sweep(
+        texts, distances, None, stopwords, small_lists, tokenizer="nonword", scope=scope, text=text, with_words=True
+    )
+    return stripes(pairs, parts)
+
+
+def stripe_at(entries, count: str):
+    """A sweep's entries at one distance, as (neighbor, cnt); those it does not reach are left out."""
+    reached = F.filter(entries, lambda e: e[count] > 0)
+    return F.transform(reached, lambda e: F.struct(e["neighbor"].alias("neighbor"), e[count].alias("cnt")))
+
+
+def isolated_words(stripes: DataFrame) -> DataFrame:
+    """``(word)``: those whose parts are all empty."""
+    return stripes.groupBy("word").agg(F.max(F.size("entries")).alias("n")).where("n = 0").select("word")
 
 
 def stripe_maps(stripes: DataFrame) -> DataFrame:
-    """``(word, part, stripe)`` with the entries as a map from neighbor to count."""
+    """``(word, part, stripe)`` with the entries of a part as a map from neighbor to count."""
     return stripes.select("word", "part", F.map_from_entries("entries").alias("stripe"))
 
 
 def stripes_to_pairs(stripes: DataFrame) -> DataFrame:
-    """``(word, neighbor, cnt)`` from stripes; empty stripes give no row."""
+    """``(word, neighbor, counts ...)`` from stripes; empty stripes give no row."""
     rows = stripes.select("word", F.explode_outer("entries").alias("e"))
     return rows.where(F.col("e").isNotNull()).select("word", "e.*")
 
 
-def merge_stripes(*stripe_sets: DataFrame, max_entries: int = MAX_STRIPE_ENTRIES) -> DataFrame:
-    """Element-wise sum of several sets of stripes, empty stripes included."""
+def merge_stripes(*stripe_sets: DataFrame, parts: int) -> DataFrame:
+    """Element-wise sum of several sets of stripes, empty stripes included.
+
+    The sets may have different numbers of parts. Every word has a part 0 in the result.
+    """
 
     def rows(s: DataFrame) -> DataFrame:
-        return s.select("word", F.explode_outer("entries").alias("e")).select("word", "e.*")
+        marked = F.when(F.col("part") == 0, F.array_append("entries", F.lit(None))).otherwise(F.col("entries"))
+        return s.select("word", F.explode_outer(marked).alias("e")).select("word", "e.*")
 
     pairs = reduce(DataFrame.unionByName, (rows(s) for s in stripe_sets))
     summed = pairs.groupBy("word", "neighbor").agg(F.sum("cnt").alias("cnt"))
-    return stripes(summed, max_entries)
+    return stripes(summed, parts)

@@ -8,28 +8,30 @@ from pyspark.sql import functions as F
 from wordloom.functions.porter import stem, stem_array
 from wordloom.functions.text import token_array
 from wordloom.operators.words import drop_words
-from wordloom.sources.wordlists import is_small, literal_words
+from wordloom.sources.wordlists import LITERAL_WORDS
 
 # Fixed value: the corpus size in the score formula when none is given.
 DEFAULT_DOCUMENTS = 10_000
 
 
 def _document_terms(docs, stopwords, tokenizer, stemmed, doc_id, text) -> DataFrame:
-    """``(doc_id, term)``, each term once per row of ``docs`` unless the stopwords are many."""
-    words = literal_words(stopwords)
-    if words is not None:
-        # In the row: drop the stopwords and repeats, stem, drop the repeats the stems make.
-        terms = F.array_except(token_array(text, tokenizer), F.lit(["", *words]))
+    """``(doc_id, term)`` and whether a row of ``docs`` gives each of its terms once."""
+    words = token_array(text, tokenizer)
+    in_row = stopwords is None or not isinstance(stopwords, DataFrame) and len(stopwords) <= LITERAL_WORDS
+    if in_row:
+        # In the row: drop the stopwords by a set that is built once, and repeats, stem, and drop
+        # the repeats the stems make.
+        gone = ["", *(stopwords or ())]
+        terms = F.array_distinct(F.filter(words, lambda t: ~t.isin(gone)))
         if stemmed:
             terms = F.array_distinct(stem_array(terms))
         rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode_outer(terms).alias("term"))
-        return rows.where(F.col("term").isNotNull())
-    # The stopwords are too many for an expression: join them, by broadcast if that is safe.
-    terms = F.array_distinct(token_array(text, tokenizer))
+        return rows.where(F.col("term").isNotNull()), True
+    # A table of stopwords is joined to the distinct tokens of each row.
+    terms = F.array_distinct(words)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode_outer(terms).alias("term"))
-    rows = rows.where(F.col("term") != "")
-    rows = drop_words(rows, stopwords, "term", small=is_small(stopwords))
-    return rows.withColumn("term", stem(F.col("term"))).distinct() if stemmed else rows
+    rows = drop_words(rows.where(F.col("term") != ""), stopwords, "term")
+    return (rows.withColumn("term", stem(F.col("term"))), False) if stemmed else (rows, True)
 
 
 def document_terms(
@@ -44,10 +46,11 @@ def document_terms(
     """``(doc_id, term)``, each term once per document.
 
     ``one_row_per_document`` states that no document id repeats. Then the rows of ``docs`` are
-    the documents, repeats are dropped inside the row and nothing is shuffled.
+    the documents, repeats are dropped inside the row and nothing is shuffled. Stopwords given
+    as a DataFrame are joined before stemming, and stems are made distinct by a shuffle.
     """
-    terms = _document_terms(docs, stopwords, tokenizer, stemmed, doc_id, text)
-    return terms if one_row_per_document else terms.dropDuplicates(["doc_id", "term"])
+    terms, distinct = _document_terms(docs, stopwords, tokenizer, stemmed, doc_id, text)
+    return terms if one_row_per_document and distinct else terms.dropDuplicates(["doc_id", "term"])
 
 
 def document_frequency(
@@ -82,27 +85,30 @@ def stems(texts: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     return words.select("word", stem(F.col("word")).alias("stem"))
 
 
+def _terms(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFrame:
+    stemmed = stem_array(token_array(text, tokenizer))
+    terms = docs.select(F.col(doc_id).alias("doc_id"), F.explode_outer(stemmed).alias("term"))
+    return terms.where(F.col("term") != "")
+
+
 def term_frequency(
     docs: DataFrame,
     df_table: DataFrame | None = None,
     tokenizer: str = "alpha",
     doc_id: str = "doc_id",
     text: str = "text",
-    small_table: bool | None = None,
+    small_table: bool = False,
 ) -> DataFrame:
     """``(doc_id, term, tf)`` over stemmed tokens, limited to the terms of ``df_table`` if given.
 
-    A small table is broadcast and filters the tokens before they are counted; any other joins
-    the counts. ``small_table`` says which, or None to count the table up to a bound.
+    With ``small_table`` (a top-k list, say) the table filters the tokens before they are counted;
+    otherwise it joins the counts.
     """
-    stemmed = stem_array(token_array(text, tokenizer))
-    terms = docs.select(F.col(doc_id).alias("doc_id"), F.explode_outer(stemmed).alias("term"))
-    terms = terms.where(F.col("term") != "")
-    small = df_table is not None and (is_small(df_table) if small_table is None else small_table)
-    if small:
-        terms = terms.join(F.broadcast(df_table), "term", "left_semi")
+    terms = _terms(docs, tokenizer, doc_id, text)
+    if df_table is not None and small_table:
+        terms = terms.join(df_table, "term", "left_semi")
     counts = terms.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
-    if df_table is not None and not small:
+    if df_table is not None and not small_table:
         counts = counts.join(df_table, "term", "left_semi")
     return counts.select("doc_id", "term", "tf")
 
@@ -120,22 +126,24 @@ def tf_idf(
     tokenizer: str = "alpha",
     doc_id: str = "doc_id",
     text: str = "text",
-    small_table: bool | None = None,
+    small_table: bool = False,
 ) -> DataFrame:
     """``(doc_id, term, score)``, the score rounded to six decimals.
 
     Terms outside ``df_table`` are left out, or with ``keep_unknown_terms`` scored as if one
-    document held them. A document with no term left has no row. ``small_table`` as in
-    ``term_frequency``; beyond it the only join is that of the counts with the table, so that
-    adaptive execution can split a term that most documents hold.
+    document held them. A document with no term left has no row. With ``small_table`` the table is
+    joined to the tokens and its ``df`` carried through the count; otherwise the only join is that of
+    the counts with the table, which adaptive execution can split at a term of most documents.
     """
-    small = is_small(df_table) if small_table is None else small_table
-    limit = df_table if small and not keep_unknown_terms else None
-    counts = term_frequency(docs, limit, tokenizer, doc_id, text, small)
-    table = F.broadcast(df_table) if small else df_table
-    joined = counts.join(table, "term", "left" if keep_unknown_terms else "inner")
+    terms = _terms(docs, tokenizer, doc_id, text)
+    table = df_table.select("term", "df")
+    if small_table and not keep_unknown_terms:
+        counts = terms.join(table, "term").groupBy("doc_id", "term", "df").agg(F.count("*").alias("tf"))
+    else:
+        counts = terms.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+        counts = counts.join(table, "term", "left" if keep_unknown_terms else "inner")
     df = F.coalesce("df", F.lit(1)) if keep_unknown_terms else F.col("df")
-    return joined.select(
+    return counts.select(
         "doc_id", "term", F.round(score(F.col("tf"), df, n_documents), 6).alias("score")
     )
 

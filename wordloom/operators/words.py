@@ -20,26 +20,22 @@ def tokens(texts: DataFrame, tokenizer: str, text: str = "text", keep=()) -> Dat
     return exploded.where(F.col("word") != "")
 
 
-def _listed(rows: DataFrame, words, small: bool) -> DataFrame:
-    listed = as_words(rows.sparkSession, words).select(F.col("word").alias("listed_word"))
-    return F.broadcast(listed) if small else listed
+def _listed(rows: DataFrame, words) -> DataFrame:
+    return as_words(rows.sparkSession, words).select(F.col("word").alias("listed_word"))
 
 
-def drop_words(rows: DataFrame, words, column: str = "word", small: bool = False) -> DataFrame:
+def drop_words(rows: DataFrame, words, column: str = "word") -> DataFrame:
     """Rows whose ``column`` is not in the list; rows with a NULL there stay.
 
-    ``small`` states that the list was checked to be small, and broadcasts it. Otherwise Spark
-    broadcasts a list under ``spark.sql.autoBroadcastJoinThreshold`` by its known size, and
-    joins a larger one by shuffle, with adaptive handling of skew.
+    Spark broadcasts a list under ``spark.sql.autoBroadcastJoinThreshold``, by its known size or
+    by what adaptive execution measures, and joins a larger one by shuffle, splitting hot words.
     """
-    listed = _listed(rows, words, small)
-    return rows.join(listed, F.col(column) == F.col("listed_word"), "left_anti")
+    return rows.join(_listed(rows, words), F.col(column) == F.col("listed_word"), "left_anti")
 
 
-def keep_words(rows: DataFrame, words, column: str = "word", small: bool = False) -> DataFrame:
+def keep_words(rows: DataFrame, words, column: str = "word") -> DataFrame:
     """Rows whose ``column`` is in the list; joined as in ``drop_words``."""
-    listed = _listed(rows, words, small)
-    return rows.join(listed, F.col(column) == F.col("listed_word"), "left_semi")
+    return rows.join(_listed(rows, words), F.col(column) == F.col("listed_word"), "left_semi")
 
 
 def token_counts(texts: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:

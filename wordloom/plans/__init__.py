@@ -13,12 +13,12 @@ from wordloom.operators import (
     word_count,
 )
 from wordloom.operators.frequency import DEFAULT_DOCUMENTS
-from wordloom.sources.wordlists import BROADCAST_WORDS
+from wordloom.sources.wordlists import FEW_WORDS
 
 
 def is_few(k: int) -> bool:
     """Whether a top-k list is small by its limit, without counting it."""
-    return k <= BROADCAST_WORDS
+    return k <= FEW_WORDS
 
 
 def frequent_words(docs: DataFrame, k: int = 50, stopwords=None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from wordloom import operators as op
-from wordloom import sinks, sources
+from wordloom import plans, sinks, sources
 from wordloom.operators.frequency import DEFAULT_DOCUMENTS
 
 
@@ -18,47 +18,85 @@ def top_words(spark: SparkSession, corpus, out: str, stopwords, k: int = 50) ->
 
 
 def pairs(
-    spark: SparkSession, corpus, out: str, vocabulary, distance: int, preagg: str = "combiner"
+    spark: SparkSession, corpus, out: str, vocabulary, distance: int, ordered: bool = False
 ) -> None:
     """``(word,neighbor)<TAB>count`` over a vocabulary."""
     found = op.cooccurrence_pairs(
         sources.read_lines(spark, corpus),
         distance,
-        sources.read_vocabulary(spark, vocabulary),
-        preagg=preagg,
+        sources.read_checked_vocabulary(spark, vocabulary),
         text="line",
+        small_lists=True,
     )
-    sinks.write_pairs(found, out, ordered=True)
+    sinks.write_pairs(found, out, ordered=ordered)
 
 
-def stripes(spark: SparkSession, corpus, out: str, vocabulary, stopwords, distance: int) -> None:
+def frequent_pairs(
+    spark: SparkSession,
+    corpus,
+    out: str,
+    stopwords,
+    distance: int,
+    k: int = 50,
+    ordered: bool = False,
+) -> None:
+    """``(word,neighbor)<TAB>count`` among the ``k`` most frequent words that are no stopwords."""
+    lines = sources.read_lines(spark, corpus).withColumnRenamed("line", "text")
+    stop = sources.read_stopwords(spark, stopwords)
+    sinks.write_pairs(plans.frequent_word_pairs(lines, distance, k, stop), out, ordered=ordered)
+
+
+def stripes(
+    spark: SparkSession,
+    corpus,
+    out: str,
+    vocabulary,
+    stopwords,
+    distance: int,
+    ordered: bool = False,
+) -> None:
     """``word<TAB>{neighbor=count, ...}`` over a vocabulary without its stopwords."""
     found = op.vocabulary_stripes(
         sources.read_lines(spark, corpus),
         distance,
-        sources.read_vocabulary(spark, vocabulary),
+        sources.read_checked_vocabulary(spark, vocabulary),
         sources.read_stopwords(spark, stopwords),
         text="line",
+        small_lists=True,
     )
-    sinks.write_stripes(found, out, ordered=True)
+    sinks.write_stripes(found, out, ordered=ordered)
 
 
 def all_word_stripes(
-    spark: SparkSession, corpus, out: str, stopwords, distance: int, preagg: str = "combiner"
+    spark: SparkSession,
+    corpus,
+    out: str,
+    stopwords,
+    distance: int,
+    parts: int = 1,
+    ordered: bool = False,
 ) -> None:
-    """``word<TAB>{neighbor=count, ...}`` of every word that is no stopword."""
+    """``word<TAB>{neighbor=count, ...}`` of every word that is no stopword.
+
+    With more than one part, ``word<TAB>part<TAB>{neighbor=count, ...}``.
+    """
     found = op.all_word_stripes(
         sources.read_lines(spark, corpus),
         distance,
         sources.read_stopwords(spark, stopwords),
-        preagg=preagg,
+        parts=parts,
         text="line",
     )
-    sinks.write_stripes(found, out, ordered=True)
+    sinks.write_stripes(found, out, ordered=ordered, parts=parts)
 
 
 def document_frequency(
-    spark: SparkSession, corpus, out: str, stopwords, max_line_bytes: int | None = None
+    spark: SparkSession,
+    corpus,
+    out: str,
+    stopwords,
+    max_line_bytes: int | None = None,
+    ordered: bool = False,
 ) -> None:
     """``term<TAB>documents`` of every stemmed term."""
     table = op.document_frequency(
@@ -66,12 +104,12 @@ def document_frequency(
         sources.read_stopwords(spark, stopwords),
         text="line",
     )
-    sinks.write_tsv(table, out, order_by="term")
+    sinks.write_tsv(table, out, order_by="term" if ordered else None)
 
 
 def top_terms(spark: SparkSession, df_table, out: str, k: int = 100) -> None:
     """The ``k`` lines of highest document frequency, highest first."""
-    sinks.write_tsv(op.top_terms(sources.read_df_table(spark, df_table), k), out)
+    sinks.write_tsv(op.top_terms(sources.read_checked_df_table(spark, df_table), k), out)
 
 
 def tf_idf(
@@ -81,12 +119,34 @@ def tf_idf(
     df_table,
     n_documents: int = DEFAULT_DOCUMENTS,
     max_line_bytes: int | None = None,
+    ordered: bool = False,
 ) -> None:
     """``document<TAB>term<TAB>score`` for the terms of a document-frequency table."""
     scores = op.tf_idf(
         sources.read_document_lines(spark, corpus, max_line_bytes, clean_ids=True),
-        sources.read_df_table(spark, df_table),
+        sources.read_checked_df_table(spark, df_table),
         n_documents,
         text="line",
     )
-    sinks.write_scores(scores, out, ordered=True)
+    sinks.write_scores(scores, out, ordered=ordered)
+
+
+def frequent_term_scores(
+    spark: SparkSession,
+    corpus,
+    out: str,
+    stopwords,
+    k: int = 100,
+    n_documents: int = DEFAULT_DOCUMENTS,
+    max_line_bytes: int | None = None,
+    ordered: bool = False,
+) -> None:
+    """``document<TAB>term<TAB>score`` for the ``k`` terms of highest document frequency."""
+    lines = sources.read_document_lines(spark, corpus, max_line_bytes, clean_ids=True)
+    scores = plans.frequent_term_scores(
+        lines.withColumnRenamed("line", "text"),
+        k,
+        sources.read_stopwords(spark, stopwords),
+        n_documents,
+    )
+    sinks.write_scores(scores, out, ordered=ordered)

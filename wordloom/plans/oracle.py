@@ -6,7 +6,7 @@ by a join on positions, stems by one common table expression per rule group.
 
 from __future__ import annotations
 
-from wordloom.plans.queries import LONG_LINE, SMALL_STRIPE
+from wordloom.plans.queries import LONG_LINE, MANY_PARTS, PARTS, TABLE_STOPWORDS
 from wordloom.sources import SHORT_STOPWORDS
 
 STOP = "stop(word) AS (VALUES " + ", ".join(f"('{w}')" for w in SHORT_STOPWORDS) + ")"
@@ -110,23 +110,33 @@ STRIPE_TEXT = (
 
 COUNTED = "counted AS (SELECT word, neighbor, count(*) AS cnt FROM hits GROUP BY word, neighbor)"
 
-ALL_STRIPES = f"""{open_hits(1)}, {COUNTED},
-        striped AS (SELECT word, {STRIPE_TEXT} AS stripe FROM counted GROUP BY word)
-        SELECT word, 0 AS part, coalesce(stripe, '{{}}') AS stripe
-        FROM (SELECT DISTINCT word FROM kept) LEFT JOIN striped USING (word)"""
-
-SPLIT_STRIPES = f"""{open_hits(1)}, {COUNTED},
-        sized AS (
-            SELECT *, (count(*) OVER (PARTITION BY word) + {SMALL_STRIPE - 1}) // {SMALL_STRIPE} AS parts
-            FROM counted),
+def in_parts(parts: int, words: str, texts: dict[str, str]) -> str:
+    """(word, part, ...) of counted, which has the texts' columns; every word has a part 0."""
+    columns = ", ".join(f"{text} AS {name}" for name, text in texts.items())
+    empty = ", ".join("'{}'" for _ in texts)
+    return f"""
         placed AS (
-            SELECT word, neighbor, cnt,
-                   (('0x' || substr(md5(neighbor), 1, 8))::BIGINT % parts)::INTEGER AS part
-            FROM sized)
-        SELECT word, part, {STRIPE_TEXT} AS stripe FROM placed GROUP BY word, part
+            SELECT *, (('0x' || substr(md5(neighbor), 1, 8))::BIGINT % {parts})::INTEGER AS part
+            FROM counted),
+        striped AS (SELECT word, part, {columns} FROM placed GROUP BY word, part)
+        SELECT word, part, {", ".join(texts)} FROM striped
         UNION ALL
-        SELECT word, 0, '{{}}' FROM (SELECT DISTINCT word FROM kept)
-        WHERE word NOT IN (SELECT word FROM counted)"""
+        SELECT word, 0, {empty} FROM ({words})
+        WHERE word NOT IN (SELECT word FROM striped WHERE part = 0)"""
+
+
+def all_stripes(parts: int) -> str:
+    words = "SELECT DISTINCT word FROM kept"
+    return f"{open_hits(1)}, {COUNTED}, {in_parts(parts, words, {'stripe': STRIPE_TEXT})}"
+
+
+WITHIN = ", ".join(f"count(*) FILTER (WHERE s <= {d}) AS cnt_d{d}" for d in (1, 2, 3, 4))
+COUNTED_SWEEP = f"counted AS (SELECT word, neighbor, {WITHIN} FROM hits GROUP BY word, neighbor)"
+TEXTS_BY_DISTANCE = {
+    f"stripe_d{d}": f"'{{' || coalesce(string_agg(neighbor || '=' || cnt_d{d}, ', ' ORDER BY neighbor) "
+    f"FILTER (cnt_d{d} > 0), '') || '}}'"
+    for d in (1, 2, 3, 4)
+}
 
 
 def merged_side(name: str, table: str, key: str) -> str:
@@ -142,9 +152,7 @@ MERGED_STRIPES = f"""WITH {STOP},
         counted AS (
             SELECT word, neighbor, count(*) AS cnt
             FROM (SELECT * FROM hits_d UNION ALL SELECT * FROM hits_c) GROUP BY word, neighbor),
-        striped AS (SELECT word, {STRIPE_TEXT} AS stripe FROM counted GROUP BY word)
-        SELECT word, 0 AS part, coalesce(stripe, '{{}}') AS stripe
-        FROM (SELECT word FROM kept_d UNION SELECT word FROM kept_c) LEFT JOIN striped USING (word)"""
+        {in_parts(PARTS, "SELECT word FROM kept_d UNION SELECT word FROM kept_c", {"stripe": STRIPE_TEXT})}"""
 
 
 # Porter's rules over (word), in the notation in which a consonant y is written Y.
@@ -236,10 +244,15 @@ def stems(words: str) -> str:
             UNION ALL SELECT word, word FROM ({words}) WHERE length(word) <= 2)"""
 
 
-def document_frequency(table: str = "documents", key: str = "doc_id") -> str:
+TABLE_STOP = f"""stop AS (
+            SELECT word FROM (SELECT word, count(*) AS cnt FROM ({chunks("conversations", "conv_id")}) GROUP BY word)
+            ORDER BY cnt DESC, word LIMIT {TABLE_STOPWORDS})"""
+
+
+def document_frequency(table: str = "documents", key: str = "doc_id", stop: str = STOP) -> str:
     """CTEs ending in df(term, df)."""
     found = f"SELECT DISTINCT id, word FROM ({tokens('apostrophe', table, key)}) WHERE word NOT IN (SELECT word FROM stop)"
-    return f"""{STOP},
+    return f"""{stop},
         found AS ({found}),
         {stems("SELECT DISTINCT word FROM found")},
         df AS (
@@ -294,8 +307,6 @@ ORACLE = {
         WHERE octet_length(encode(line)) + 1 < {LONG_LINE} GROUP BY doc_id""",
     "document_id_cleanup": "SELECT doc_id, source || '-' || doc_id AS name FROM documents",
     "cooc_pairs": pairs(2),
-    "cooc_pairs_none": pairs(2),
-    "cooc_pairs_mapclass": pairs(2),
     "cooc_pairs_document": pairs(2, "document"),
     "cooc_pairs_sweep": f"""{vocabulary_hits(4)}
         SELECT word, neighbor,
@@ -307,9 +318,16 @@ ORACLE = {
         {hits(f"SELECT * FROM ({positions('alnum')}) WHERE word IN (SELECT word FROM vocab)", 2)},
         {COUNTED}
         SELECT word, {STRIPE_TEXT} AS stripe FROM counted GROUP BY word""",
-    "cooc_stripes_all": ALL_STRIPES,
-    "cooc_stripes_all_mapclass": ALL_STRIPES,
-    "cooc_stripes_split": SPLIT_STRIPES,
+    "cooc_stripes_sweep": f"""WITH {STOP},
+        vocab AS (SELECT word FROM ({TOP_50_ALL}) WHERE word NOT IN (SELECT word FROM stop)),
+        {hits(f"SELECT * FROM ({positions('alnum')}) WHERE word IN (SELECT word FROM vocab)", 4)},
+        {COUNTED_SWEEP}
+        SELECT word, {", ".join(f"{text} AS {name}" for name, text in TEXTS_BY_DISTANCE.items())}
+        FROM counted GROUP BY word""",
+    "cooc_stripes_all": all_stripes(PARTS),
+    "cooc_stripes_all_sweep": f"""{open_hits(4)}, {COUNTED_SWEEP},
+        {in_parts(PARTS, "SELECT DISTINCT word FROM kept", TEXTS_BY_DISTANCE)}""",
+    "cooc_stripes_split": all_stripes(MANY_PARTS),
     "empty_stripes": f"""{open_hits(1)}
         SELECT DISTINCT word FROM kept WHERE word NOT IN (SELECT word FROM hits)""",
     "stripes_to_pairs": f"""{open_hits(2)}
@@ -324,6 +342,8 @@ ORACLE = {
         WHERE word NOT IN (SELECT word FROM stop) GROUP BY word""",
     "doc_freq_conversations": f"""WITH {document_frequency("conversations", "conv_id")}
         SELECT term, df FROM df""",
+    "doc_freq_stopword_table": f"""WITH {document_frequency(stop=TABLE_STOP)}
+        SELECT term, df FROM df""",
     "doc_freq_top100": f"WITH {document_frequency()} {TOP_100}",
     "porter_stem": f"""WITH {stems(f"SELECT DISTINCT word FROM ({tokens('apostrophe')})")}
         SELECT word, stem FROM stems""",
@@ -348,6 +368,9 @@ ORACLE = {
         SELECT DISTINCT word FROM (
             SELECT lower(regexp_replace(line, {TRIM})) AS word FROM ({LINES})
         ) WHERE word <> ''""",
-    "tsv_roundtrip": f"{SCORES} SELECT doc_id, term, score FROM scores",
-    "text_files_roundtrip": f"WITH {STOP} {WORD_COUNT}",
+    "counts_text": f"""WITH {STOP}
+        SELECT word || chr(9) || cnt AS value FROM ({WORD_COUNT})""",
+    "stripes_text": f"SELECT word || chr(9) || part || chr(9) || stripe AS value FROM ({all_stripes(PARTS)})",
+    "scores_text": f"""{SCORES}
+        SELECT doc_id || chr(9) || term || chr(9) || format('{{:.6f}}', score) AS value FROM scores""",
 }

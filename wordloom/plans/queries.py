@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom import operators as op
 from wordloom import plans, sinks, sources
-from wordloom.functions import clean_document_id, line_array, pair_text, stripe_text
+from wordloom.functions import clean_document_id, pair_text, stripe_text
 from wordloom.sources import SHORT_STOPWORDS
 
 # Size limit of a line, in bytes with its terminator, in the query on over-long lines.
 LONG_LINE = 200
-# Stripe size of the query that splits stripes.
-SMALL_STRIPE = 20
+# Parts of a stripe over all words, in the queries on them.
+PARTS = 4
+MANY_PARTS = 16
+# Stopwords that are taken from a table.
+TABLE_STOPWORDS = 200
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -29,16 +29,6 @@ def turns(spark: SparkSession, sf: str) -> DataFrame:
     return sources.read_table(spark, f"{sf}/conversations.parquet", "conv_id", "text")
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name in the cluster's shared checkpoint folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and spark.sparkContext.master.startswith("local"):
-        shared = tempfile.mkdtemp(prefix="wordloom-")
-    if shared is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors reach")
-    return f"{shared}/wordloom-{uuid.uuid4().hex}"
-
-
 def top_words(spark, sf):
     return plans.frequent_words(documents(spark, sf), 50, SHORT_STOPWORDS)
 
@@ -100,44 +90,73 @@ def cooc_pairs_sweep(spark, sf):
 def cooc_stripes(spark, sf):
     docs = documents(spark, sf)
     vocabulary = plans.frequent_words(docs, 50)
-    # Fifty words bound a stripe, so it needs no splitting.
-    stripes = op.vocabulary_stripes(
-        docs, 2, vocabulary, SHORT_STOPWORDS, max_entries=None, small_lists=True
-    )
+    stripes = op.vocabulary_stripes(docs, 2, vocabulary, SHORT_STOPWORDS, small_lists=True)
     return stripes.select("word", stripe_text("entries").alias("stripe"))
 
 
-def all_stripes_query(preagg: str):
+def cooc_stripes_sweep(spark, sf):
+    docs = documents(spark, sf)
+    vocabulary = plans.frequent_words(docs, 50)
+    stripes = op.vocabulary_stripes_sweep(
+        docs, (1, 2, 3, 4), vocabulary, SHORT_STOPWORDS, small_lists=True
+    )
+    return stripes.select("word", *_texts_by_distance())
+
+
+def _texts_by_distance():
+    texts = (stripe_text(op.stripe_at(F.col("entries"), f"cnt_d{d}")) for d in (1, 2, 3, 4))
+    return [text.alias(f"stripe_d{d}") for d, text in enumerate(texts, 1)]
+
+
+def all_stripes_query(parts: int):
     def query(spark, sf):
-        stripes = op.all_word_stripes(documents(spark, sf), 1, SHORT_STOPWORDS, preagg=preagg)
+        stripes = op.all_word_stripes(documents(spark, sf), 1, SHORT_STOPWORDS, parts=parts)
         return stripes.select("word", "part", stripe_text("entries").alias("stripe"))
 
     return query
 
 
-def cooc_stripes_split(spark, sf):
-    stripes = op.all_word_stripes(
-        documents(spark, sf), 1, SHORT_STOPWORDS, max_entries=SMALL_STRIPE
+def cooc_stripes_all_sweep(spark, sf):
+    stripes = op.all_word_stripes_sweep(
+        documents(spark, sf), (1, 2, 3, 4), SHORT_STOPWORDS, parts=PARTS
     )
-    return stripes.select("word", "part", stripe_text("entries").alias("stripe"))
+    return stripes.select("word", "part", *_texts_by_distance())
 
 
 def empty_stripes(spark, sf):
-    maps = op.stripe_maps(op.all_word_stripes(documents(spark, sf), 1, SHORT_STOPWORDS))
-    return maps.where(F.size("stripe") == 0).select("word")
+    return op.isolated_words(op.all_word_stripes(documents(spark, sf), 1, SHORT_STOPWORDS, parts=PARTS))
 
 
 def stripes_to_pairs(spark, sf):
-    return op.stripes_to_pairs(op.all_word_stripes(documents(spark, sf), 2, SHORT_STOPWORDS))
+    return op.stripes_to_pairs(op.all_word_stripes(documents(spark, sf), 2, SHORT_STOPWORDS, parts=PARTS))
 
 
 def stripes_merge(spark, sf):
-    first = op.all_word_stripes(documents(spark, sf), 1, SHORT_STOPWORDS)
-    second = op.all_word_stripes(turns(spark, sf), 1, SHORT_STOPWORDS)
-    merged = op.merge_stripes(first, second)
+    first = op.all_word_stripes(documents(spark, sf), 1, SHORT_STOPWORDS, parts=PARTS)
+    second = op.all_word_stripes(turns(spark, sf), 1, SHORT_STOPWORDS, parts=1)
+    merged = op.merge_stripes(first, second, parts=PARTS)
     return merged.select("word", "part", stripe_text("entries").alias("stripe"))
 
 
+def counts_text(spark, sf):
+    return sinks.count_lines(word_count(spark, sf))
+
+
+def stripes_text(spark, sf):
+    stripes = op.all_word_stripes(documents(spark, sf), 1, SHORT_STOPWORDS, parts=PARTS)
+    return sinks.stripe_lines(stripes, PARTS)
+
+
+def scores_text(spark, sf):
+    return sinks.score_lines(tfidf(spark, sf))
+
+
+def doc_freq_stopword_table(spark, sf):
+    """Document frequency without the most frequent words of the conversations."""
+    stopwords = plans.frequent_words(turns(spark, sf), TABLE_STOPWORDS).select("word")
+    return op.document_frequency(documents(spark, sf), stopwords, one_row_per_document=True)
+
+
 def pairs_text(spark, sf):
     pairs = plans.frequent_word_pairs(documents(spark, sf), 1, 50, SHORT_STOPWORDS)
     return pairs.select(pair_text("word", "neighbor").alias("pair"), "cnt")
@@ -218,21 +237,6 @@ def stopword_parse(spark, sf):
     return sources.parse_stopwords(rows.select(F.concat(F.lit("\t "), "line", F.lit(" \t")).alias("line")))
 
 
-def tsv_roundtrip(spark, sf):
-    """Scores written as text and read back."""
-    path = scratch_folder(spark)
-    sinks.write_scores(tfidf(spark, sf), path)
-    return spark.read.csv(path, sep="\t", schema="doc_id bigint, term string, score double")
-
-
-def text_files_roundtrip(spark, sf):
-    """Documents written as text files and read back as lines; the word counts stay the same."""
-    path = scratch_folder(spark)
-    texts = documents(spark, sf).select(F.explode_outer(line_array("text")).alias("value"))
-    texts.where(F.col("value").isNotNull()).write.text(path)
-    return op.word_count(sources.read_lines(spark, path), SHORT_STOPWORDS, text="line")
-
-
 QUERIES = {
     "top_words": top_words,
     "word_count": word_count,
@@ -247,14 +251,13 @@ QUERIES = {
     "long_line_skip": long_line_skip,
     "document_id_cleanup": document_id_cleanup,
     "cooc_pairs": pairs_query(2),
-    "cooc_pairs_none": pairs_query(2, preagg="none"),
-    "cooc_pairs_mapclass": pairs_query(2, preagg="mapclass"),
     "cooc_pairs_document": pairs_query(2, scope="document"),
     "cooc_pairs_sweep": cooc_pairs_sweep,
     "cooc_stripes": cooc_stripes,
-    "cooc_stripes_all": all_stripes_query("combiner"),
-    "cooc_stripes_all_mapclass": all_stripes_query("mapclass"),
-    "cooc_stripes_split": cooc_stripes_split,
+    "cooc_stripes_sweep": cooc_stripes_sweep,
+    "cooc_stripes_all": all_stripes_query(PARTS),
+    "cooc_stripes_all_sweep": cooc_stripes_all_sweep,
+    "cooc_stripes_split": all_stripes_query(MANY_PARTS),
     "empty_stripes": empty_stripes,
     "stripes_to_pairs": stripes_to_pairs,
     "stripes_merge": stripes_merge,
@@ -262,6 +265,7 @@ QUERIES = {
     "doc_freq": doc_freq,
     "doc_freq_raw": doc_freq_raw,
     "doc_freq_conversations": doc_freq_conversations,
+    "doc_freq_stopword_table": doc_freq_stopword_table,
     "doc_freq_top100": doc_freq_top100,
     "porter_stem": porter_stem,
     "term_freq": term_freq,
@@ -271,6 +275,7 @@ QUERIES = {
     "df_table_parse": df_table_parse,
     "wordlist_parse": wordlist_parse,
     "stopword_parse": stopword_parse,
-    "tsv_roundtrip": tsv_roundtrip,
-    "text_files_roundtrip": text_files_roundtrip,
+    "counts_text": counts_text,
+    "stripes_text": stripes_text,
+    "scores_text": scores_text,
 }

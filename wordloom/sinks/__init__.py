@@ -14,43 +14,61 @@ def tsv_lines(df: DataFrame, *fields: Column) -> DataFrame:
     return df.select(F.concat_ws("\t", *texts).alias("value"))
 
 
+def count_lines(df: DataFrame) -> DataFrame:
+    """``key<TAB>value``: the columns in their order."""
+    return tsv_lines(df, *(F.col(c) for c in df.columns))
+
+
+def pair_lines(pairs: DataFrame) -> DataFrame:
+    """``(word,neighbor)<TAB>count``."""
+    return tsv_lines(pairs, pair_text("word", "neighbor"), F.col("cnt"))
+
+
+def stripe_lines(stripes: DataFrame, parts: int = 1) -> DataFrame:
+    """``word<TAB>{a=1, b=2}`` of stripes in one part, else ``word<TAB>part<TAB>{a=1, b=2}``."""
+    part = [F.col("part")] if parts > 1 else []
+    return tsv_lines(stripes, F.col("word"), *part, stripe_text("entries"))
+
+
+def score_lines(scores: DataFrame) -> DataFrame:
+    """``doc_id<TAB>term<TAB>score``, the score with six decimals."""
+    return tsv_lines(scores, F.col("doc_id"), F.col("term"), score_text("score"))
+
+
 def _write(lines: DataFrame, path: str, mode: str) -> None:
     lines.write.mode(mode).text(path)
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists", order_by=None) -> None:
-    """``key<TAB>value`` for a DataFrame of two columns (or more, in column order).
+    """The lines of ``count_lines``.
 
     ``order_by`` sorts the files among each other and inside, by range partitioning; without
     it the rows stay where they are.
     """
-    if order_by is not None:
-        df = df.orderBy(order_by)
-    _write(tsv_lines(df, *(F.col(c) for c in df.columns)), path, mode)
+    _write(count_lines(df if order_by is None else df.orderBy(order_by)), path, mode)
 
 
 def write_pairs(
     pairs: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False
 ) -> None:
-    """``(word,neighbor)<TAB>count``."""
-    if ordered:
-        pairs = pairs.orderBy("word", "neighbor")
-    _write(tsv_lines(pairs, pair_text("word", "neighbor"), F.col("cnt")), path, mode)
+    """The lines of ``pair_lines``."""
+    _write(pair_lines(pairs.orderBy("word", "neighbor") if ordered else pairs), path, mode)
 
 
 def write_stripes(
-    stripes: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False
+    stripes: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    ordered: bool = False,
+    parts: int = 1,
 ) -> None:
-    """``word<TAB>{a=1, b=2}``; a stripe in several parts takes several lines."""
-    if ordered:
-        stripes = stripes.orderBy("word", "part")
-    _write(tsv_lines(stripes, F.col("word"), stripe_text("entries")), path, mode)
+    """The lines of ``stripe_lines``; ``parts`` as the stripes were made with."""
+    lines = stripe_lines(stripes.orderBy("word", "part") if ordered else stripes, parts)
+    _write(lines, path, mode)
 
 
 def write_scores(
     scores: DataFrame, path: str, mode: str = "errorifexists", ordered: bool = False
 ) -> None:
-    """``doc_id<TAB>term<TAB>score``, the score with six decimals."""
-    if ordered:
-        scores = scores.orderBy("doc_id", "term")
-    _write(tsv_lines(scores, F.col("doc_id"), F.col("term"), score_text("score")), path, mode)
+    """The lines of ``score_lines``."""
+    _write(score_lines(scores.orderBy("doc_id", "term") if ordered else scores), path, mode)

@@ -1,6 +1,6 @@
 """Readers for text corpora, word lists and document-frequency tables."""
 
-from wordloom.sources.dftable import parse_df_table, read_df_table
+from wordloom.sources.dftable import parse_df_table, read_checked_df_table, read_df_table
 from wordloom.sources.lines import (
     document_lines,
     drop_long_lines,
@@ -10,10 +10,10 @@ from wordloom.sources.lines import (
 )
 from wordloom.sources.wordlists import (
     SHORT_STOPWORDS,
-    is_small,
-    literal_words,
+    are_few,
     parse_stopwords,
     parse_vocabulary,
+    read_checked_vocabulary,
     read_stopwords,
     read_vocabulary,
     require_words,
@@ -22,13 +22,14 @@ from wordloom.sources.wordlists import (
 
 __all__ = [
     "SHORT_STOPWORDS",
+    "are_few",
     "document_lines",
     "drop_long_lines",
-    "is_small",
-    "literal_words",
     "parse_df_table",
     "parse_stopwords",
     "parse_vocabulary",
+    "read_checked_df_table",
+    "read_checked_vocabulary",
     "read_df_table",
     "read_document_lines",
     "read_lines",

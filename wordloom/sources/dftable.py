@@ -37,3 +37,11 @@ def parse_df_table(lines: DataFrame, column: str = "line") -> DataFrame:
 
 def read_df_table(spark: SparkSession, path) -> DataFrame:
     return parse_df_table(spark.read.text(path), "value")
+
+
+def read_checked_df_table(spark: SparkSession, path) -> DataFrame:
+    """A table, read once to see that it holds a term; ``ValueError`` if not."""
+    table = read_df_table(spark, path)
+    if table.isEmpty():
+        raise ValueError(f"table {path} is empty")
+    return table

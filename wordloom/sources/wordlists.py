@@ -18,9 +18,9 @@ that the their they this to was were which with you
 # Up to this many words an expression may hold as a literal; larger lists are joined.
 LITERAL_WORDS = 10_000
 
-# What counts as small enough to broadcast.
-BROADCAST_WORDS = 100_000
-BROADCAST_BYTES = 16 << 20
+# What counts as a small list.
+FEW_WORDS = 100_000
+FEW_BYTES = 16 << 20
 
 
 def parse_stopwords(lines: DataFrame, column: str = "line") -> DataFrame:
@@ -43,11 +43,16 @@ def read_stopwords(spark: SparkSession, path) -> DataFrame:
 
 
 def read_vocabulary(spark: SparkSession, path) -> DataFrame:
-    """Read a vocabulary; raise ``ValueError`` if it holds no word, as does a missing path."""
-    return require_words(parse_vocabulary(spark.read.text(path), "value"), f"vocabulary {path}")
+    return parse_vocabulary(spark.read.text(path), "value")
+
+
+def read_checked_vocabulary(spark: SparkSession, path) -> DataFrame:
+    """A vocabulary, read once to see that it holds a word; ``ValueError`` if not."""
+    return require_words(read_vocabulary(spark, path), f"vocabulary {path}")
 
 
 def require_words(words: DataFrame, what: str = "vocabulary") -> DataFrame:
+    """``words``, if a job finds a row in it; ``ValueError`` otherwise."""
     if words.isEmpty():
         raise ValueError(f"{what} is empty")
     return words
@@ -65,34 +70,11 @@ def word_set(spark: SparkSession, words: Sequence[str]) -> DataFrame:
     return spark.range(1).select(F.explode(F.lit(distinct)).alias("word"))
 
 
-def is_small(words: DataFrame | Sequence[str], rows: int = BROADCAST_WORDS) -> bool:
-    """Whether a word list has at most ``rows`` words and ``BROADCAST_BYTES`` bytes.
-
-    For a DataFrame this counts up to ``rows + 1`` of its rows.
-    """
-    if not isinstance(words, DataFrame):
-        return len(words) <= rows
-    column = F.col(words.columns[0])
-    found = (
-        words.limit(rows + 1)
-        .agg(F.count("*").alias("n"), F.sum(F.octet_length(column)).alias("bytes"))
-        .first()
-    )
-    return found.n <= rows and (found.bytes or 0) <= BROADCAST_BYTES
-
-
-def literal_words(words: DataFrame | Sequence[str] | None, limit: int = LITERAL_WORDS):
-    """The words as a Python list, or None if there are more than ``limit`` of them.
-
-    Only a list that passed the size check reaches the driver.
-    """
-    if words is None:
-        return []
-    if not is_small(words, limit):
-        return None
-    if isinstance(words, DataFrame):
-        return [row.word for row in words.select("word").collect()]
-    return list(words)
+def are_few(words: DataFrame | Sequence[str]) -> bool:
+    """Whether a list given in code is small in rows and bytes; a DataFrame's size is not known."""
+    if isinstance(words, DataFrame) or len(words) > FEW_WORDS:
+        return False
+    return sum(len(w.encode()) for w in words) <= FEW_BYTES
 
 
 def as_words(spark: SparkSession, words: DataFrame | Sequence[str]) -> DataFrame:
