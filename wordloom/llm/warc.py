@@ -6,9 +6,9 @@ payloads of at least ``REVISIT_BYTES``, those with the largest id carry the payl
 others are revisit records that refer to it.
 
 Reading: files are cut into byte ranges, one task each. A task looks for gzip magic from its start
-on, validates a candidate member by decoding its headers, and follows the chain of members up to the
-range's end; a candidate whose chain breaks lies inside another member's data and is passed over.
-The task owns the records that start inside its range and reads the last one beyond the end.
+on, validates a candidate member by decoding its headers, and follows the chain of members from there
+for more bytes than a stored deflate block can hold; a candidate whose chain breaks before lies inside
+another member's data and is passed over. The task owns the records that start inside its range and reads the last one beyond the end.
 
 Both sides use ``pyarrow.fs``, which opens local and object stores by their address.
 """
@@ -40,6 +40,8 @@ DATE = "2000-01-01T00:00:00Z"
 
 #: The start of a deflate gzip member, and the profile of revisits by digest.
 MAGIC = b"\x1f\x8b\x08"
+#: Fixed value: the bytes of a stored deflate block; no run of foreign members is longer in another.
+STORED_BYTES = 65535
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 _RECORD = pa.schema(
@@ -197,8 +199,9 @@ class _Members:
         found = self.inflate(at, 16)
         return found is not None and re.match(rb"WARC/\d\.\d\r\n", found[0]) is not None
 
-    def chain(self, at: int, end: int) -> bool:
-        """Whether members follow each other from ``at`` to ``end`` or the end of the file."""
+    def chain(self, at: int) -> bool:
+        """Whether members follow each other for over STORED_BYTES or to the end of the file."""
+        end = at + STORED_BYTES + 1
         while at < min(end, self.size):
             if not self.opens(at):
                 return False
@@ -220,7 +223,7 @@ class _Members:
             data = self.file.read_at(min(READ_BYTES, end - at) + len(MAGIC) - 1, at)
             place = data.find(MAGIC)
             while place >= 0 and at + place < end:
-                if self.opens(at + place) and self.chain(at + place, end):
+                if self.opens(at + place) and self.chain(at + place):
                     return at + place
                 place = data.find(MAGIC, place + 1)
             at += READ_BYTES
