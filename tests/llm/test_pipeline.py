@@ -24,16 +24,16 @@ def test_stages_against_plain_python(spark):
     kept = {r.doc_id for r in near_dedup.near_duplicates(left).collect() if r.kept}
     left = docs.where(docs.doc_id.isin(list(kept)))
     kept -= {r.doc_id for r in decontaminate.leaks(left, spark.read.parquet(f"{FOLDER}/benchmark.parquet")).collect()}
-    final = {r.doc_id: r for r in corpus_pipeline.run(spark, FOLDER).collect()}
-    assert final.keys() == kept and len(kept) > 100
-    decoded = sentencepiece_codec.decode(corpus_pipeline.run(spark, FOLDER))
-    for r in decoded.collect():
+    result = corpus_pipeline.run(spark, FOLDER).cache()
+    assert {r.doc_id for r in result.collect()} == kept and len(kept) > 100
+    for r in sentencepiece_codec.decode(result).collect():
         text = rows[r.doc_id].text
         for rule in secrets.BASE:
             assert not [m for m in re.finditer(rule.pattern, r.text) if len(m[rule.group]) >= max(rule.least, 6)]
         if secrets.MASK not in r.text:
             assert r.text == text
     docs.unpersist()
+    result.unpersist()
 
 
 def test_stages_keep_the_columns_and_take_odd_rows(spark):
