@@ -113,3 +113,9 @@ def test_counters(spark, texts, rows):
         ("term_document_pairs", 4),
         ("terms", 3),
     ]
+
+
+def test_stopwords_with_quotes(texts, rows):
+    docs = texts("don't stay a\\b")
+    expected = [("a", 1), ("b", 1), ("stai", 1)]
+    assert rows(op.document_frequency(docs, ["don't", "x'y\\"])) == expected

@@ -14,18 +14,24 @@ from wordloom.sources.wordlists import LITERAL_WORDS
 DEFAULT_DOCUMENTS = 10_000
 
 
+def _quoted(word: str) -> str:
+    """A word as a SQL string."""
+    return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _document_terms(docs, stopwords, tokenizer, stemmed, doc_id, text) -> DataFrame:
     """``(doc_id, term)`` and whether a row of ``docs`` gives each of its terms once."""
     words = token_array(text, tokenizer)
     in_row = stopwords is None or not isinstance(stopwords, DataFrame) and len(stopwords) <= LITERAL_WORDS
     if in_row:
         # In the row: drop the stopwords by a set that is built once, and repeats, stem, and drop
-        # the repeats the stems make.
-        gone = ["", *(stopwords or ())]
-        terms = F.array_distinct(F.filter(words, lambda t: ~t.isin(gone)))
+        # the repeats the stems make. One SQL text takes thousands of words faster than columns do.
+        gone = ", ".join(_quoted(w) for w in ["", *(stopwords or ())])
+        rows = docs.select(F.col(doc_id).alias("doc_id"), words.alias("words"))
+        terms = F.array_distinct(F.expr(f"filter(words, t -> t NOT IN ({gone}))"))
         if stemmed:
             terms = F.array_distinct(stem_array(terms))
-        rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode_outer(terms).alias("term"))
+        rows = rows.select("doc_id", F.explode_outer(terms).alias("term"))
         return rows.where(F.col("term").isNotNull()), True
     # A table of stopwords is joined to the distinct tokens of each row.
     terms = F.array_distinct(words)
