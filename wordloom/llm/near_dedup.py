@@ -13,10 +13,11 @@ of two sketches is the sketch of the union, and equal registers grow with the Ja
    sketches lies more than ``SIGMAS`` standard errors below the threshold; all others are verified
    on full sets.
 4. Buckets whose members are not in one component yet go on: the members outside of the largest
-   component become further centres, eight times as many in each round, until all have been. A pair
-   in one component needs no test, and the triangle inequality of the Jaccard distance rules out
-   pairs by their distances from the first centre. So no bucket is expanded into all pairs, none
-   is cut, and no link between components is lost.
+   component become further centres, ``CENTRES`` in the next round and ``CENTRES`` times as many in
+   each after it, until all have been. A pair in one component needs no test; others meet in the
+   first band that they share, and only if a second sketch of ``BINS`` bins, each with a code of its
+   least hash, does not rule them out at ``SIGMAS`` standard errors. So no bucket is expanded
+   into all pairs, none is cut, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.llm.components import components
@@ -38,10 +39,12 @@ PERCENT = 75
 BANDS, ROWS = 32, 3
 #: Base, rate and largest value of a register.
 BASE, RATE, TOP = 1.001, 20.0, 65535
+#: Bins of the second sketch, of which LANES are packed in one number.
+BINS, LANES = 511, 7
 #: Standard errors below the threshold at which the estimate rules a pair out.
-SIGMAS = 6.0
+SIGMAS = 5.0
 #: Centres per bucket in the second round.
-CENTRES = 16
+CENTRES = 32
 
 
 def shingle_sets(
@@ -66,6 +69,17 @@ def registers(least: np.ndarray, base: float = BASE) -> np.ndarray:
     return np.clip(value, 0, TOP).astype(np.uint16)
 
 
+def bins(own: np.ndarray) -> np.ndarray:
+    """Codes 1 .. 255 of the least hash in each bin, packed by seven; 0 for an empty bin."""
+    hashed = np.sort(mix(own ^ U64(0x5BD1E995)))
+    place = (hashed >> U64(32)) * U64(BINS) >> U64(32)
+    first = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(own) else np.zeros(0, np.int64)
+    codes = np.zeros(BINS, U64)
+    codes[place[first].astype(np.int64)] = (mix(hashed[first]) % U64(255)) + U64(1)
+    shift = np.arange(LANES, dtype=U64) * U64(8)
+    return (codes.reshape(-1, LANES) << shift).sum(axis=1, dtype=U64)
+
+
 def _sketch(width: int, count: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
@@ -74,7 +88,7 @@ def _sketch(width: int, count: int):
         shift = rng.integers(0, 1 << 63, count, dtype=U64)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            n, one, two, least = [], [], [], []
+            n, one, two, least, codes = [], [], [], [], []
             for first, last in chunks(offsets):
                 part = data[offsets[first] : offsets[last]]
                 at = offsets[first : last + 1] - offsets[first]
@@ -87,6 +101,7 @@ def _sketch(width: int, count: int):
                         block = own[None, a : a + (1 << 12)] * factor[:, None] + shift[:, None]
                         np.minimum(low, block.min(axis=1), out=low)
                     least.append(low)
+                    codes.append(bins(own))
             values = registers(np.array(least, U64).reshape(-1, count))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -95,8 +110,9 @@ def _sketch(width: int, count: int):
                     pa.array(np.array(one, U64).view(np.int64)),
                     pa.array(np.array(two, U64).view(np.int64)),
                     pa.array([x.tobytes() for x in values], pa.binary()),
+                    pa.array([x.tobytes() for x in codes], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "one", "two", "registers"],
+                names=["doc_id", "n_shingles", "one", "two", "registers", "codes"],
             )
 
     return sketch
@@ -108,20 +124,68 @@ def _values(column: pa.Array, count: int) -> np.ndarray:
 
 
 def _band(bands: int, rows: int):
+    """Each band's registers in one number, its key among all bands, and the bins' numbers."""
+
+    def lists(values: np.ndarray) -> pa.Array:
+        rows_, width = values.shape
+        offsets = pa.array(np.arange(0, (rows_ + 1) * width, width, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(values.ravel().view(np.int64)))
+
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             value = _values(batch.column("registers"), bands * rows).astype(U64)
-            key = np.broadcast_to(np.arange(1, bands + 1, dtype=U64), (len(value), bands)).copy()
+            pack = np.zeros((len(value), bands), U64)
             for i in range(rows):
-                key = mix(key ^ (value[:, i::rows] << U64(40)))
-            n = len(key)
-            offsets = np.arange(0, (n + 1) * bands, bands, dtype=np.int32)
-            keys = pa.ListArray.from_arrays(offsets, pa.array(key.ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), keys], names=["rep", "keys"])
+                pack |= value[:, i::rows] << U64(16 * i)
+            key = mix(mix(pack) ^ np.arange(1, bands + 1, dtype=U64))
+            codes, _ = text_bytes(batch.column("codes"))
+            codes = np.frombuffer(codes.tobytes(), U64).reshape(-1, BINS // LANES)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), batch.column("n"), lists(key), lists(pack), lists(codes)],
+                names=["rep", "n", "keys", "packs", "codes"],
+            )
 
     return band
 
 
+def _empty_lanes(x: Column) -> Column:
+    """How many of the LANES bytes of a number are 0."""
+    low = sum(0x7F << 8 * i for i in range(LANES))
+    high = sum(0x80 << 8 * i for i in range(LANES))
+    carried = (x.bitwiseAND(F.lit(low)) + F.lit(low)).bitwiseOR(x)  # high bit: the byte is not 0
+    return F.lit(LANES) - F.bit_count(carried.bitwiseAND(F.lit(high)))
+
+
+def _plausible(a: Column, b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """Whether the bins of two sets leave the similarity possible.
+
+    The share of bins with equal codes among those that are not empty in both estimates it, with
+    variance J (1 - J) (1 / bins - 1 / union) or a little more where codes agree by chance.
+    """
+    share = percent / 100
+
+    def count(pairs: Column) -> Column:
+        start = F.struct(F.lit(0).alias("equal"), F.lit(0).alias("empty"))
+        return F.aggregate(
+            pairs,
+            start,
+            lambda s, p: F.struct((s["equal"] + p["equal"]).alias("equal"), (s["empty"] + p["empty"]).alias("empty")),
+        )
+
+    def compare(x: Column, y: Column) -> Column:
+        return F.struct(
+            _empty_lanes(x.bitwiseXOR(y)).cast("int").alias("equal"), _empty_lanes(x.bitwiseOR(y)).cast("int").alias("empty")
+        )
+
+    def decide(s: Column) -> Column:
+        used = F.lit(float(BINS)) - s["empty"]
+        union = (n_a + n_b) / (1 + share)
+        spread = F.sqrt(share * (1 - share) * F.greatest(1 / used - 1 / union, F.lit(0.0)))
+        return (s["equal"] - s["empty"]) / used >= share - SIGMAS * spread - 1e-9
+
+    return F.get(F.transform(F.array(count(F.zip_with(a, b, compare))), decide), F.lit(0))
+
+
 def estimate(
     more: np.ndarray, less: np.ndarray, same: np.ndarray, n_a: np.ndarray, n_b: np.ndarray
 ) -> np.ndarray:
@@ -223,12 +287,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     sketches = settled(
         own.mapInArrow(
             _sketch(width, count),
-            "doc_id long, n_shingles long, one long, two long, registers binary",
+            "doc_id long, n_shingles long, one long, two long, registers binary, codes binary",
         ),
         "sketches",
     )
     usable = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    classes = settled(classes, "classes")  # so that the join may split a hot class
     sets = sketches.select("doc_id", "n_shingles", "one", "two").join(
         classes, ["one", "two", "n_shingles"], "left"
     )
@@ -241,20 +306,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
             sets.where("doc_id = rep").select(F.col("rep"), F.col("one").alias("sign")).distinct(),
             (F.col("doc_id") == F.col("rep")) & (F.col("one") == F.col("sign")),
         )
-        .select("rep", F.col("n_shingles").alias("n"), "registers")
+        .select("rep", F.col("n_shingles").alias("n"), "registers", "codes")
         .dropDuplicates(["rep", "n"]),
         "representatives",
     )
-    keyed = reps.mapInArrow(_band(BANDS, ROWS), "rep long, keys array<long>").select(
-        "rep", F.explode("keys").alias("key")
+    banded = settled(
+        reps.mapInArrow(_band(BANDS, ROWS), "rep long, n long, keys array<long>, packs array<long>, codes array<long>"), "bands"
     )
+    keyed = banded.select("rep", F.posexplode("keys").alias("band", "key"))
     shared = (
         keyed.groupBy("key")
         .agg(F.min("rep").alias("centre"), F.max("rep").alias("other"))
         .where("centre <> other")
         .select("key", "centre")
     )
-    buckets = settled(keyed.join(shared, "key").distinct(), "buckets")
+    buckets = settled(keyed.join(shared, "key"), "buckets")
     texts = settled(
         own.join(buckets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"),
         "near-texts",
@@ -265,72 +331,71 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     ).where("a <> top").select("doc_id", "a")
     links = sets.join(one, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """(a, b, d): the distance, null where sizes or sketches rule the pair out."""
+    def likely(pairs: DataFrame) -> DataFrame:
+        """Pairs that neither sizes nor sketches rule out."""
         a = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
         b = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
         fit = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        likely = pairs.join(b, "b").join(a, "a").where(fit)
-        likely = likely.mapInArrow(_screen(count, percent), "a long, b long, likely boolean")
-        likely = settled(likely.where("likely").select("a", "b").distinct(), "likely")
+        found = pairs.join(b, "b").join(a, "a").where(fit)
+        found = found.mapInArrow(_screen(count, percent), "a long, b long, likely boolean")
+        return found.where("likely").select("a", "b").distinct()
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Pairs whose full sets reach the similarity."""
         ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
         tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-        tested = likely.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
+        tested = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
         tested = tested.mapInArrow(_verify(width), "a long, b long, common long, either long")
-        return settled(
-            pairs.join(tested, ["a", "b"], "left").select(
-                "a",
-                "b",
-                (1 - F.col("common") / F.col("either")).alias("d"),
-                (100 * F.col("common") >= percent * F.col("either")).alias("linked"),
-            ),
-            "verified",
-        )
+        return settled(tested.where(100 * F.col("common") >= percent * F.col("either")).select("a", "b"), "links")
 
-    tested = verified(
-        buckets.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    )
-    used = buckets.select("key", "centre").distinct()
+    star = buckets.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    labels = components(links.unionByName(linked(settled(likely(star), "likely"))))
+    used = buckets.where("rep = centre").select("key", "rep")
     wanted = CENTRES
     while True:
-        labels = components(links.unionByName(tested.where("linked").select("a", "b")))
         members = buckets.join(labels, buckets.rep == labels.node, "left").select(
-            "key", "centre", "rep", F.coalesce("comp", "rep").alias("comp")
+            "key", "band", "rep", F.coalesce("comp", "rep").alias("comp")
         )
-        mixed = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        mixed = mixed.where("lo <> hi").select("key")
-        sizes = members.join(mixed, "key").groupBy("key", "comp").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("key").agg(F.max(F.struct("size", "comp"))["comp"].alias("largest"))
-        outside = (
-            members.join(largest, "key")
-            .where("comp <> largest")
-            .join(used.select("key", F.col("centre").alias("rep")), ["key", "rep"], "left_anti")
+        sizes = members.groupBy("key", "comp").agg(F.count("*").alias("size"))
+        largest = sizes.groupBy("key").agg(
+            F.max(F.struct("size", "comp"))["comp"].alias("largest"), F.count("*").alias("comps")
         )
+        mixed = settled(members.join(largest.where("comps > 1").drop("comps"), "key"), "mixed")
+        outside = mixed.where("comp <> largest").join(used, ["key", "rep"], "left_anti")
         rank = F.row_number().over(Window.partitionBy("key").orderBy("rep"))
         chosen = outside.withColumn("rank", rank).where(F.col("rank") <= wanted)
-        chosen = settled(chosen.select("key", F.col("rep").alias("x"), F.col("comp").alias("cx")), "centres")
+        chosen = settled(chosen.select("key", "rep"), "centres")
         if chosen.isEmpty():
             break
-        first = tested.where("d is not null").select(
-            F.col("a").alias("centre"), F.col("b").alias("rep"), "d"
+        here = mixed.join(chosen.select("key").distinct(), "key", "left_semi")
+        here = here.join(banded.select("rep", "n", "packs", "codes"), "rep")
+        here = here.select("key", "band", "rep", "comp", "n", "packs", "codes")
+        x = here.join(chosen, ["key", "rep"]).select(
+            "key", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("packs").alias("px"), F.col("codes").alias("kx")
+        )
+        first_shared = F.array_position(F.zip_with("px", "packs", lambda a, b: a == b), F.lit(True)) == F.col("band") + 1
+        fresh = x.join(here, "key").where(
+            (F.col("cx") != F.col("comp"))
+            & (100 * F.least("nx", "n") >= percent * F.greatest("nx", "n"))
+            & first_shared
+            & _plausible(F.col("kx"), F.col("codes"), F.col("nx"), F.col("n"), percent)
         )
-        placed = members.join(chosen.select("key").distinct(), "key", "left_semi")
-        placed = placed.join(first, ["centre", "rep"], "left").select(
-            "key", "rep", "comp", F.when(F.col("rep") == F.col("centre"), 0.0).otherwise(F.col("d")).alias("d")
+        fresh = fresh.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
+        more = linked(settled(fresh, "likely"))
+        used = settled(used.unionByName(chosen), "used")
+        wanted *= CENTRES
+        # new links join whole components
+        ends = [labels.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in ("a", "b")]
+        joined = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(
+            F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")
         )
-        near = placed.select("key", F.col("rep").alias("x"), F.col("d").alias("dx"))
-        ruled_out = F.abs(F.col("dx") - F.col("d")) > 1 - percent / 100 + 1e-9
-        fresh = (
-            chosen.join(near, ["key", "x"])
-            .join(placed, "key")
-            .where((F.col("cx") != F.col("comp")) & ~F.coalesce(ruled_out, F.lit(False)))
-            .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b"))
-            .distinct()
-            .join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        merged = components(joined)
+        old = labels.unionByName(more.select(F.explode(F.array("a", "b")).alias("node")).withColumn("comp", F.col("node")))
+        old = old.groupBy("node").agg(F.min("comp").alias("comp"))
+        top = merged.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+        labels = settled(
+            old.join(top, "comp", "left").select("node", F.coalesce("top", "comp").alias("comp")), "labels"
         )
-        tested = settled(tested.unionByName(verified(fresh)), "verified")
-        used = settled(used.unionByName(chosen.select("key", F.col("x").alias("centre"))), "used")
-        wanted *= 8
     return sets.join(labels, sets.rep == labels.node, "left").select(
         "doc_id",
         "n_shingles",
