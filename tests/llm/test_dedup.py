@@ -105,7 +105,9 @@ def test_registers_merge():
     assert (union == np.maximum(near_dedup.registers(a.min(axis=1)), near_dedup.registers(b.min(axis=1)))).all()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr("wordloom.llm.components.FEW_EDGES", few)
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (105, 101), (7, 7)]
     df = components(spark.createDataFrame(edges, "a long, b long"))
     got = {r.node: r.comp for r in df.collect()}

@@ -44,7 +44,7 @@ BINS, LANES = 511, 7
 #: Standard errors below the threshold at which the estimate rules a pair out.
 SIGMAS = 5.0
 #: Centres per bucket in the second round.
-CENTRES = 32
+CENTRES = 2048
 
 
 def shingle_sets(
