@@ -45,6 +45,8 @@ FLOORS = {
 NAMES = tuple(FLOORS)
 SHARE = 0.75
 STEPS = 5
+#: Groups up to which their estimates (under 500 bytes each) are broadcast to the vectors.
+BROADCAST_GROUPS = 50_000
 OWN_GROUP, POOLED_GROUP = 200, 60
 #: Probability that a document of a normal population lies beyond the cutoff.
 BEYOND = 1e-6
@@ -230,10 +232,16 @@ def _moments(rows: DataFrame, keys: list[str], factor: float) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("size"), *means, *pairs)
 
 
-def estimates(vectors: DataFrame) -> DataFrame:
+def _beside(rows: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(rows) if small else rows
+
+
+def estimates(vectors: DataFrame, small: bool = False) -> DataFrame:
     """The minimum covariance determinant estimate of each group of ``vectors``.
 
     ``vectors`` has ``group_lang``, ``group_source`` (both null-safe keys without nulls) and ``NAMES``.
+    ``small`` states that the groups were counted to be at most ``BROADCAST_GROUPS``; otherwise
+    the vectors are shuffled to their estimates.
     """
     p = len(NAMES)
     keys = ["group_lang", "group_source"]
@@ -261,9 +269,9 @@ def estimates(vectors: DataFrame) -> DataFrame:
     coordinate = _whitened(middle, keys).withColumn("start", F.lit(1))
     current = settled(classical.unionByName(coordinate), "estimates")
     for _ in range(STEPS):
-        near = vectors.join(current, keys).withColumn("d2", _distance())
+        near = vectors.join(_beside(current, small), keys).withColumn("d2", _distance())
         limits = near.groupBy(*group).agg(F.percentile_approx("d2", SHARE, 2000).alias("limit"))
-        nearest = near.select(*group, *NAMES, "d2").join(settled(limits, "limits"), group).where("d2 <= limit")
+        nearest = near.select(*group, *NAMES, "d2").join(_beside(settled(limits, "limits"), small), group).where("d2 <= limit")
         current = settled(_whitened(_moments(nearest, group, CONSISTENCY), group), "estimates")
     best = current.groupBy(*keys).agg(F.min(F.struct("spread", "start"))["start"].alias("start"))
     return settled(current.join(best, group).drop("start"), "estimates")
@@ -284,11 +292,14 @@ def judge(docs: DataFrame) -> DataFrame:
         "own_source",
         F.when(F.col("rows") >= OWN_GROUP, F.col("own_source")).otherwise("").alias("group_source"),
     )
+    groups = settled(sizes, "groups")
+    small = groups.count() <= BROADCAST_GROUPS
     placed = rows.select("*", lang.alias("group_lang"), source.alias("own_source")).join(
-        settled(sizes, "groups"), ["group_lang", "own_source"], "left"
+        _beside(groups, small), ["group_lang", "own_source"], "left"
     )
-    found = estimates(placed.where("n_words > 0").select("group_lang", "group_source", *NAMES))
-    judged = placed.join(found.where(F.col("size") >= POOLED_GROUP * SHARE), ["group_lang", "group_source"], "left")
+    found = estimates(placed.where("n_words > 0").select("group_lang", "group_source", *NAMES), small)
+    large = found.where(F.col("size") >= POOLED_GROUP * SHARE)
+    judged = placed.join(_beside(large, small), ["group_lang", "group_source"], "left")
     distance = F.when(F.col("size").isNotNull(), _distance())
     return judged.select(
         "doc_id",
