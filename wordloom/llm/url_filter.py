@@ -34,6 +34,8 @@ RULES = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Longest word that a label is split into.
 LONGEST = 24
+#: Distinct hosts up to which their rules are broadcast to the urls.
+BROADCAST_HOSTS = 100_000
 #: Added to each token count.
 SMOOTHING = 1.0
 
@@ -73,6 +75,9 @@ def matched_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
         ).alias("rule"),
     )
     found = suffixes.join(own, "suffix").groupBy("host").agg(F.collect_list("rule").alias("_rules"))
+    found = settled(found, "host-rules")
+    if found.count() <= BROADCAST_HOSTS:
+        found = F.broadcast(found)
     joined = urls.join(found, "host", "left")
     fits = F.filter("_rules", lambda r: F.startswith(F.col("path"), r["start"]))
     best = F.array_max(fits)
@@ -203,6 +208,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
         .groupBy("host", "skeleton")
         .agg(F.sum(F.col("times") * F.col("weight")).alias("sum"))
     )
+    scored = settled(scored, "url-scores")  # so that the join may split a hot host
     judged = ruled.join(scored, ["host", "skeleton"], "left")
     score = F.when(F.col("rule").isNull(), F.coalesce("sum", F.lit(0.0)) + F.lit(prior))
     if allowed + blocked == 0:
