@@ -180,6 +180,23 @@ def test_a_hot_passage_keeps_its_seeds_and_blocks_change_nothing(documents, spar
     assert decontaminate.leaks(documents(texts), benchmark.limit(0)).collect() == []
 
 
+def test_repeated_edited_copies_are_found_whatever_their_count(documents, spark, monkeypatch):
+    items = [" ".join(f"i{k}w{j}" for j in range(40)) for k in range(2)]
+    items += [items[0].replace("i0w5 ", "other ")]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    edited = [" ".join("new" if j % 4 == 3 else w for j, w in enumerate(t.split())) for t in items[:2]]
+    phrase = " ".join(items[1].split()[:4])
+    texts = [f"d{i} {edited[0]} e{i}" for i in range(30)] + [items[1]]
+    texts += [f"d{i} {edited[1]} e{i}" for i in range(30)] + [f"{phrase} x{i}" for i in range(30)]
+    expected = [(i, k) for i in range(30) for k in (0, 2)] + [(i, 1) for i in range(30, 61)]
+    for pairs in (None, 7):
+        if pairs:
+            monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        rows = decontaminate.leaks(documents(texts), benchmark).collect()
+        assert sorted((r.doc_id, r.item_id) for r in rows) == expected
+        assert {r.similarity for r in rows if r.item_id == 0} == {51 / 80}
+
+
 # --- quality rules -------------------------------------------------------------------------
 
 

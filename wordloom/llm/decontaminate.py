@@ -4,13 +4,15 @@ The benchmark is the query set: it is read in blocks of bounded size, each of wh
 executors, and every document is compared with every block.
 
 1. A first pass counts in how many documents each word n-gram of a block occurs. Of an item's
-   n-grams those are seeds that are rare for it: in at most ``RARE`` times as many documents as its
-   median n-gram. Common phrases drop out; a passage that stands in a third of all documents keeps
-   its seeds, since all of them are equally frequent.
-2. A second pass joins documents to items by their seeds. Seeds of one item that lie within its
-   length of each other form a passage, which Smith-Waterman alignment compares with the item
-   word by word. Its score counts +2 for equal words and -1 for a changed, inserted or dropped one,
-   so copies with edits keep most of the score of a verbatim copy.
+   n-grams those are rare that occur in at most ``RARE`` times as many documents as the median of
+   those that occur at all.
+2. A second pass joins documents to items by their n-grams. Those of one item that lie within its
+   length of each other form a passage. With ``MIN_SEEDS`` rare ones it is aligned at once. One of
+   common phrases is aligned only if it holds enough of the item's words for the least score, a
+   bound that no leak misses: counts decide the work, never the result.
+3. Smith-Waterman alignment compares a passage with the item word by word. Its score counts +2 for
+   equal words and -1 for a changed, inserted or dropped one, so copies with edits keep most of the
+   score of a verbatim copy.
 
 Words are runs of non-space characters, ASCII letters in either case alike, without ASCII
 punctuation at their ends. Both passes keep one chunk of texts in memory and shuffle only counts.
@@ -29,7 +31,7 @@ from wordloom.llm.hashing import U64, Words, chunks, mix, ngram_hashes, text_byt
 
 #: Words of a seed.
 SEED = 3
-#: Documents of a seed, in multiples of its item's median n-gram.
+#: Documents of a rare n-gram, in multiples of its item's median one.
 RARE = 4.0
 #: Items of fewer words are too short to tell a copy from chance.
 MIN_WORDS = 8
@@ -41,6 +43,8 @@ SIMILARITY = 0.5
 BLOCK_BYTES = 8 << 20
 #: Alignments that run side by side, in cells of one row.
 ALIGN_CELLS = 1 << 16
+#: Hits with their items, and words of passages and items, that are compared at once.
+PAIRS = 1 << 20
 
 MATCH, EDIT = 2, 1
 
@@ -87,20 +91,22 @@ class _Items:
         self.gram, self.item = grams[at][order], item[at][order]
         self.place = (at - self.bounds[item[at]])[order]
         self.distinct = np.unique(self.gram)
+        self.key = np.searchsorted(self.distinct, self.gram) * len(ids) + self.item
+        self.vocabulary, self.word = np.unique(self.words, return_inverse=True)
+        self.rare = np.ones(len(self.gram), bool)
 
-    def keep(self, hashes: np.ndarray, counts: np.ndarray) -> None:
-        """Leave only the seeds that are rare for their item."""
+    def weigh(self, hashes: np.ndarray, counts: np.ndarray) -> None:
+        """Mark the n-grams that are rare for their item; none is dropped."""
         full = np.zeros(len(self.distinct))
         full[np.searchsorted(self.distinct, hashes)] = counts
         own = full[np.searchsorted(self.distinct, self.gram)]
-        order = np.lexsort((own, self.item))
-        begin = np.searchsorted(self.item[order], np.arange(len(self.ids)))
-        size = np.bincount(self.item, minlength=len(self.ids))
-        middle = np.minimum(begin + size // 2, max(len(order) - 1, 0))
-        median = own[order][middle] if len(order) else np.zeros(len(self.ids))
-        rare = own <= np.maximum(RARE * median[self.item], 1)
-        self.gram, self.item, self.place = self.gram[rare], self.item[rare], self.place[rare]
-        self.distinct = np.unique(self.gram)
+        some = np.flatnonzero(own)
+        if len(some):
+            order = some[np.lexsort((own[some], self.item[some]))]
+            begin = np.searchsorted(self.item[order], np.arange(len(self.ids)))
+            size = np.bincount(self.item[some], minlength=len(self.ids))
+            median = own[order][np.minimum(begin + size // 2, len(order) - 1)]
+            self.rare = own <= RARE * median[self.item]
 
 
 def _hits(items: _Items, words: np.ndarray, bounds: np.ndarray, seed: int):
@@ -174,6 +180,54 @@ def align(
     return best, end
 
 
+def _portions(items: _Items, text: np.ndarray, gram: np.ndarray):
+    """Hits with every item that has them, as (hit, index into the items' n-grams).
+
+    Portions have about PAIRS rows; those of one text and item stay together.
+    """
+    n, rank = len(items.ids), np.searchsorted(items.distinct, gram)
+    total = np.cumsum(np.searchsorted(items.key, (rank + 1) * n) - np.searchsorted(items.key, rank * n))
+    first = before = 0
+    while first < len(gram):
+        last = int(np.searchsorted(total, before + PAIRS, "right"))
+        if last < len(gram):
+            last = int(np.searchsorted(text, text[last]))
+            if last <= first:
+                last = int(np.searchsorted(text, text[first], "right"))
+        own = rank[first:last] * n
+        parts = min(-(-int(total[last - 1] - before) // PAIRS), n)
+        edges = np.arange(parts + 1) * n // parts
+        for a, z in zip(edges[:-1], edges[1:], strict=True):
+            low, high = np.searchsorted(items.key, own + a), np.searchsorted(items.key, own + z)
+            many = high - low
+            if many.any():
+                index = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+                yield np.repeat(np.arange(first, last), many), index
+        first, before = last, total[last - 1]
+
+
+def _shared(items: _Items, words, item, low, high) -> np.ndarray:
+    """How many of its item's words each passage ``[low, high)`` holds: no alignment matches more."""
+    out = np.zeros(len(item), np.int64)
+    size = items.length[item]
+    work = np.cumsum(high - low + size)
+    first = before = 0
+    while first < len(item):
+        last = max(int(np.searchsorted(work, before + PAIRS, "right")), first + 1)
+        width, tall = (high - low)[first:last], size[first:last]
+        row = np.repeat(np.arange(last - first), width)
+        at = np.repeat(low[first:last] - np.cumsum(width) + width, width) + np.arange(len(row))
+        place = np.minimum(np.searchsorted(items.vocabulary, words[at]), len(items.vocabulary) - 1)
+        known = items.vocabulary[place] == words[at]
+        held = np.unique(row[known] * len(items.vocabulary) + place[known])
+        row = np.repeat(np.arange(last - first), tall)
+        at = np.repeat(items.bounds[item[first:last]] - np.cumsum(tall) + tall, tall) + np.arange(len(row))
+        inside = np.isin(row * len(items.vocabulary) + items.word[at], held)
+        out[first:last] = np.bincount(row[inside], minlength=last - first)
+        first, before = last, work[last - 1]
+    return out
+
+
 def _scored(items: _Items, words, text, item, low, high) -> tuple[np.ndarray, ...]:
     """Scores and word ranges of passages ``[low, high)`` against their items, side by side."""
     score = np.zeros(len(item), np.int64)
@@ -217,45 +271,48 @@ def _find(block, seed: int, similarity: float):
                 at, text, gram = _hits(items, words, bounds, seed)
                 if not len(at):
                     continue
-                # each seed with every item that has it
-                low, high = (np.searchsorted(items.gram, gram, s) for s in ("left", "right"))
-                many = high - low
-                index = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
-                at, text = np.repeat(at, many), np.repeat(text, many)
-                item, origin = items.item[index], np.repeat(0, len(index)) + at - items.place[index]
-                order = np.lexsort((origin, item, text))
-                text, item, origin = text[order], item[order], origin[order]
-                size = items.length[item]
-                new = np.ones(len(text), bool)
-                new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1])
-                new[1:] |= origin[1:] - origin[:-1] > size[1:] // 2
-                group = np.flatnonzero(new)
-                seeds = np.diff(np.append(group, len(text)))
-                tail = group + seeds - 1
-                enough = seeds >= np.minimum(MIN_SEEDS, size[group] - seed + 1)
-                group, tail = group[enough], tail[enough]
-                text, item, size = text[group], item[group], size[group]
-                low = np.maximum(origin[group] - size // 2, bounds[text])
-                high = np.minimum(origin[tail] + size + size // 2 + 1, bounds[text + 1])
-                score, start, end = _scored(items, words, text, item, low, high)
-                good = np.flatnonzero(score >= similarity * MATCH * size)
-                # the best passage of each document and item
-                good = good[np.lexsort((start[good], -score[good], item[good], text[good]))]
-                once = np.ones(len(good), bool)
-                once[1:] = (text[good][1:] != text[good][:-1]) | (item[good][1:] != item[good][:-1])
-                good = good[once]
-                text, item = text[good], item[good]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[first + text], from_pandas=True).cast(pa.int64()),
-                        pa.array(item),
-                        pa.array(score[good]),
-                        pa.array(MATCH * size[good]),
-                        pa.array(start[good] - bounds[text]),
-                        pa.array(end[good] - bounds[text]),
-                    ],
-                    names=names,
-                )
+                for hit, index in _portions(items, text, gram):
+                    item, origin = items.item[index], at[hit] - items.place[index]
+                    own = text[hit]
+                    order = np.lexsort((origin, item, own))
+                    own, item, origin = own[order], item[order], origin[order]
+                    size = items.length[item]
+                    new = np.ones(len(own), bool)
+                    new[1:] = (own[1:] != own[:-1]) | (item[1:] != item[:-1])
+                    new[1:] |= origin[1:] - origin[:-1] > size[1:] // 2
+                    group = np.flatnonzero(new)
+                    seeds = np.diff(np.append(group, len(own)))
+                    rare = np.add.reduceat(items.rare[index][order].astype(np.int64), group)
+                    tail = group + seeds - 1
+                    least = np.minimum(MIN_SEEDS, size[group] - seed + 1)
+                    enough = seeds >= least
+                    group, tail, sure = group[enough], tail[enough], (rare >= least)[enough]
+                    own, item, size = own[group], item[group], size[group]
+                    low = np.maximum(origin[group] - size // 2, bounds[own])
+                    high = np.minimum(origin[tail] + size + size // 2 + 1, bounds[own + 1])
+                    unsure = np.flatnonzero(~sure)
+                    held = _shared(items, words, item[unsure], low[unsure], high[unsure])
+                    sure[unsure] = held >= similarity * size[unsure]
+                    own, item, size, low, high = own[sure], item[sure], size[sure], low[sure], high[sure]
+                    score, start, end = _scored(items, words, own, item, low, high)
+                    good = np.flatnonzero(score >= similarity * MATCH * size)
+                    # the best passage of each document and item
+                    good = good[np.lexsort((start[good], -score[good], item[good], own[good]))]
+                    once = np.ones(len(good), bool)
+                    once[1:] = (own[good][1:] != own[good][:-1]) | (item[good][1:] != item[good][:-1])
+                    good = good[once]
+                    own, item = own[good], item[good]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(ids[first + own], from_pandas=True).cast(pa.int64()),
+                            pa.array(item),
+                            pa.array(score[good]),
+                            pa.array(MATCH * size[good]),
+                            pa.array(start[good] - bounds[own]),
+                            pa.array(end[good] - bounds[own]),
+                        ],
+                        names=names,
+                    )
 
     return find
 
@@ -298,10 +355,10 @@ def leaks(
         block = spark.sparkContext.broadcast(items)
         counts = own.mapInArrow(_count(block, seed), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         rows = counts.toPandas()  # at most one row per n-gram of the block
-        items.keep(rows["gram"].to_numpy(np.int64).view(U64), rows["n"].to_numpy(float))
-        rare = spark.sparkContext.broadcast(items)
+        items.weigh(rows["gram"].to_numpy(np.int64).view(U64), rows["n"].to_numpy(float))
+        weighed = spark.sparkContext.broadcast(items)
         pairs = own.mapInArrow(
-            _find(rare, seed, similarity),
+            _find(weighed, seed, similarity),
             "doc_id long, item long, score long, full long, first_word long, end_word long",
         )
         names = spark.createDataFrame(list(enumerate(ids)), f"item long, item_id {kind}")
