@@ -239,6 +239,21 @@ def test_a_main_slot_without_an_article_element(pages):
         assert got[i] == f"Story {i} " + " ".join(f"w{i}x{k}" for k in range(40))
 
 
+def test_a_main_slot_holds_all_varying_text(pages):
+    words = lambda i: " ".join(f"w{i}x{k}" for k in range(200))
+    rows, expected = [], {}
+    for i in range(8):
+        # a heading, a note on one page only, and a date beside the body, each a small share of the letters
+        note = "<div class='note'>Corrected</div>" if i == 3 else ""
+        body = f"<h1>Story {i}</h1>{note}<div class='entry'><p>{words(i)}</p></div><div class='date'>Day {i}</div>"
+        rows.append((i, "http://h/", template(i, body, "<div class='top'>Site name</div>", "div class='content'")))
+        expected[i] = f"Story {i} {'Corrected ' if note else ''}{words(i)} Day {i}"
+    for i in range(8, 16):  # loose text behind the last element
+        rows.append((i, "http://loose/", f"<html><body><div class='top'>Site name</div><div>{words(i)}</div></body></html>end {i}"))
+        expected[i] = f"{words(i)} end {i}"
+    assert texts_of(pages(*rows)) == expected
+
+
 def test_copies_of_one_page_keep_their_text(pages):
     page = template(0, "<h1>One</h1><p>text</p>")
     assert set(texts_of(pages(*[(i, "http://h/", page) for i in range(9)])).values()) == {"One text"}
