@@ -259,6 +259,20 @@ def test_copies_of_one_page_keep_their_text(pages):
     assert set(texts_of(pages(*[(i, "http://h/", page) for i in range(9)])).values()) == {"One text"}
 
 
+def test_copies_of_one_article_are_no_template(pages):
+    body = "<div class='text'>The only article</div>"
+    rows = [(i, "http://same/", template(0, body)) for i in range(5)]
+    # what differs stands outside of the article
+    rows += [(i, "http://top/", template(i, body, f"<div class='top'>Day {i}</div>")) for i in range(5, 12)]
+    # two articles, mirrored
+    rows += [(i, "http://two/", template(i, f"<p>{i % 2}</p>{body}")) for i in range(12, 20)]
+    # five articles show what is the template
+    rows += [(i, "http://many/", template(i, f"<p>{i}</p>{body}")) for i in range(20, 25)]
+    expected = {i: "The only article" for i in range(12)}
+    expected |= {i: f"{i % 2} The only article" for i in range(12, 20)} | {i: f"{i}" for i in range(20, 25)}
+    assert texts_of(pages(*rows)) == expected
+
+
 def test_odd_markup():
     cases = {"a < b": "a < b", "<": "<", "<p": "", "<!-- x": "", "<p>a</b>c": "ac", "<script>x": "", "</p>z": "z", "<a href='>'>q</a>": "q", "<p title=\"x>": ""}
     for page, expected in cases.items():
