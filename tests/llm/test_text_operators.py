@@ -321,6 +321,15 @@ def test_gradient_points_downhill():
     assert ((model.tails(found) > 0.5).sum(axis=1) == grade).mean() > 0.95
 
 
+def test_the_sample_follows_the_hash_not_the_table(documents, spark, monkeypatch):
+    texts, labels = corpus(4, 120)
+    table = spark.createDataFrame([(i, q, t) for i, (q, t) in enumerate(labels)], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(ordinal_quality, "ENTRIES", 4000)
+    there = ordinal_quality.train(documents(texts).coalesce(1), table)
+    back = ordinal_quality.train(documents(texts[::-1], range(119, -1, -1)).coalesce(1), table)
+    assert (there.weights == back.weights).all() and (there.thresholds == back.thresholds).all()
+
+
 def test_without_labels_and_texts(documents, spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = ordinal_quality.train(documents(["a b"]), none)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.hashing import U64, Words, chunks, mix, text_bytes
+from wordloom.llm.shared import settled
 
 BUCKETS = 1 << 16
 SAMPLE = 14_000
@@ -165,7 +166,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for x in (pa.array(bucket.astype(np.int32)), pa.array(value.astype(np.float32)))
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grade").slice(first, last - first), *lists], names=["grade", "bucket", "value"]
+                [batch.column(c).slice(first, last - first) for c in ("doc_id", "grade")] + lists,
+                names=["doc_id", "grade", "bucket", "value"],
             )
 
 
@@ -183,8 +185,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         .limit(SAMPLE)
     )
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    rows = own.join(F.broadcast(graded), "doc_id").select("grade", "text")  # SAMPLE rows at most
-    rows = rows.mapInArrow(_features, "grade int, bucket array<int>, value array<float>")
+    rows = own.join(F.broadcast(graded), "doc_id").select("doc_id", "grade", "text")  # SAMPLE rows at most
+    rows = rows.mapInArrow(_features, "doc_id long, grade int, bucket array<int>, value array<float>")
+    # both bounds follow the hash, whatever the order of the table
+    rows = settled(rows, "sample").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("bucket", "value"))
     buckets, values, grades, size = [], [], [], 0
     for row in rows.toLocalIterator():
         if size + len(row.bucket) > ENTRIES:
