@@ -5,12 +5,15 @@ from __future__ import annotations
 from wordloom.llm import (
     decontaminate,
     html_text,
+    mixing,
     near_dedup,
     ordinal_quality,
+    periodic_runs,
     quality_rules,
     secrets,
     sentencepiece_codec,
     suffix_dedup,
+    tokenizer_alignment,
     url_filter,
     warc,
 )
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_dedup.query,
     "op9_html_templates": html_text.query,
     "op10_ordinal_quality": ordinal_quality.query,
+    "op11_periodic_runs": periodic_runs.query,
+    "op12_tokenizer_alignment": tokenizer_alignment.query,
+    "op13_source_mixing": mixing.query,
 }
 
 ORACLE: dict[str, str] = {
