@@ -91,6 +91,9 @@ ODD = [
     (11, "word " * 5000),
     (12, "x" * 3000),
     (13, "\n\n \n a"),
+    (14, "tail of spaces  \n "),
+    (15, "“quoted” \u2003em  x\u00a0 y\u3000 z\u0085 w \x7f v"),
+    (16, "sp ace\t\t  tabs \r\n crlf"),
     (8, "it's  we'll don't I'M"),
     (None, "no id"),
 ]
