@@ -1,13 +1,18 @@
-"""Vectorised hashing of UTF-8 text inside tasks: prefix polynomial hashes, words, word n-grams.
+"""Vectorised hashing of UTF-8 text inside tasks: words, word n-grams, prefix polynomial hashes.
 
-A polynomial hash of bytes ``[s, e)`` is ``sum(T[byte_j] * B**(j - s))`` modulo 2**64 with a random
+A word's bytes go through a mixing hash, eight at a time. A polynomial hash of bytes ``[s, e)`` is ``sum(T[byte_j] * B**(j - s))`` modulo 2**64 with a random
 table ``T`` and an odd base, so that one running sum over a buffer gives the hash of every
-substring: ``(S[e] - S[s]) * B**-s``. All functions work on one chunk of whole texts; their memory
+substring: ``(S[e] - S[s]) * B**-s``. Modulo a power of two, strings of a self-similar order of 1,024 bytes
+or more can share such a hash, whatever the base, so it is for shorter ones only. All functions work on one chunk of whole texts; their memory
 is a fixed multiple of the chunk, and a chunk is longer than ``CHUNK_BYTES`` only where one text is.
 """
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +37,42 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Spans of more bytes are hashed one by one.
+LONG_BYTES = 256
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A mixing hash of the bytes of each span ``[start, end)``."""
+    size = end - start
+    out = mix(size.astype(U64) + U64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
+    many = np.flatnonzero(size > LONG_BYTES)
+    for i in many.tolist():
+        whole = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little"))
+        out[i] = int.from_bytes(whole.digest(), "little")
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each byte on
+    live = np.flatnonzero((size > 0) & (size <= LONG_BYTES))
+    at, rest = start[live], size[live]
+    while len(live):
+        block = eights[at]
+        tail = rest < 8
+        block[tail] &= (U64(1) << (rest[tail] * 8).astype(U64)) - U64(1)
+        out[live] = mix((out[live] ^ block) * U64(0xD6E8FEB86659FD93) + U64(0xA0761D6478BD642F))
+        more = rest > 8
+        live, at, rest = live[more], at[more] + 8, rest[more] - 8
+    return out
+
+
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A") : ord("Z") + 1] += 32
+
+
 class Poly:
-    """Prefix polynomial hashes under one base and one random table of byte values."""
+    """Prefix polynomial hashes under one base and one random table of byte values, for substrings below 1,024 bytes."""
 
-    def __init__(self, seed: int, fold_case: bool = False):
+    def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
         self.table = rng.integers(1, 1 << 63, 256, dtype=U64) * U64(2) + U64(1)
-        if fold_case:
-            self.table[ord("A") : ord("Z") + 1] = self.table[ord("a") : ord("z") + 1]
         self.base = int(rng.integers(1 << 40, 1 << 62)) | 5
         self.up = self.down = np.ones(1, U64)
 
@@ -129,12 +162,21 @@ class Words:
     """Hashes of words and word n-grams of a chunk of texts, ASCII letters in either case alike."""
 
     def __init__(self, seed: int = 11, fold_case: bool = True):
-        self.poly = Poly(seed, fold_case)
+        self.seed, self.fold_case = seed, fold_case
+
+    def hash_spans(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return span_hashes(_FOLD[data] if self.fold_case else data, start, end, self.seed)
 
     def hash_words(self, data: np.ndarray, offsets: np.ndarray):
         """(word hash, start, end, first word of each text with one more at the end)."""
         start, end, text = word_spans(data, offsets)
-        sums = self.poly.prefix(data)
-        hashed = mix(self.poly.spans(sums, start, end) ^ (end - start).astype(U64))
         bounds = np.searchsorted(text, np.arange(len(offsets)))
-        return hashed, start, end, bounds
+        return self.hash_spans(data, start, end), start, end, bounds
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task, since Spark keeps its Python workers."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

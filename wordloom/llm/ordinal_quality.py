@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.hashing import U64, Words, chunks, mix, text_bytes
-from wordloom.llm.shared import settled
+from wordloom.llm.shared import received, settled, shipped
 
 BUCKETS = 1 << 16
 SAMPLE = 14_000
@@ -64,9 +64,7 @@ class Features:
         turn[start] = True
         place = np.append(0, np.cumsum(turn))
         short = kind[turn]
-        poly = self.shape.poly
-        sums = poly.prefix(short)
-        shape = mix(poly.spans(sums, place[start], place[end]) ^ (place[end] - place[start]).astype(U64))
+        shape = self.shape.hash_spans(short, place[start], place[end])
         same = np.zeros(len(hashed), bool)
         same[1:] = (hashed[1:] == hashed[:-1]) & (text[1:] == text[:-1])
         bits = U64(64 - int(BUCKETS).bit_length() + 1)
@@ -209,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 def _score(model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, own = Features(), model.value
+        features, own = Features(), received(model)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for first, last in chunks(offsets):
@@ -235,8 +233,8 @@ def grade(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
     Repeated rows and null ids are scored like others; further columns are ignored.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights
-    scored = own.mapInArrow(_score(shared), "doc_id long, expected_grade double, p_good double")
+    model = shipped(docs.sparkSession, model)  # BUCKETS weights
+    scored = own.mapInArrow(_score(model), "doc_id long, expected_grade double, p_good double")
     return scored.withColumn("kept", F.col("p_good") >= keep)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,3 +36,13 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def shipped(spark: SparkSession, value) -> Broadcast:
+    """``value`` for all executors, as bytes that bring its class along: they need no copy of this library."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(broadcast: Broadcast):
+    """What ``shipped`` sent."""
+    return pickle.loads(broadcast.value)
