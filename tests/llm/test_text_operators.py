@@ -161,12 +161,71 @@ def test_edited_copies_and_clean_documents(documents, spark):
         items[0],
     ]
     rows = decontaminate.leaks(documents(texts), benchmark).collect()
-    assert sorted((r.doc_id, r.item_id) for r in rows) == [(0, 0), (1, 1), (2, 2), (7, 3), (8, 4), (8, 5), (9, 0)]
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(0, 0), (1, 1), (2, 2), (4, 6), (7, 3), (8, 4), (8, 5), (9, 0)]
     by = {(r.doc_id, r.item_id): r for r in rows}
     assert by[0, 0].similarity == 1.0 and (by[0, 0].first_word, by[0, 0].end_word) == (50, 90)
     assert 0.7 < by[2, 2].similarity < 0.95
 
 
+def words_of(text):
+    return [w.strip("".join(c for c in map(chr, range(33, 127)) if not c.isalnum())) or w[-1] for w in text.lower().split()]
+
+
+def all_pairs(texts, items, similarity=0.5):
+    """Every (text, item) whose whole alignment reaches the score; short items verbatim."""
+    found = set()
+    for i, text in enumerate(texts):
+        passage = words_of(text)
+        for k, item in enumerate(items):
+            own = words_of(item)
+            if len(own) >= decontaminate.MIN_WORDS:
+                if score_of(own, passage) >= similarity * 2 * len(own):
+                    found.add((i, k))
+            elif own and len(own) >= decontaminate.WHOLE_WORDS:
+                if any(passage[j : j + len(own)] == own for j in range(len(passage))):
+                    found.add((i, k))
+            elif own and passage == own:
+                found.add((i, k))
+    return found
+
+
+@pytest.mark.parametrize("words", [4000, 60])
+def test_every_leak_is_found(documents, spark, words):
+    """Against the alignment of all texts with all items: edits at regular and random places, of every kind."""
+    rng = random.Random(words)
+    word = lambda: f"w{min(rng.randrange(words), rng.randrange(words))}"
+    items = [" ".join(word() for _ in range(n)) for n in (8, 9, 12, 20, 40, 40, 41, 59, 15, 16)]
+    items += ["three short words", "yes", "a b", "yes no maybe so"]
+    texts = []
+    for own in (t.split() for t in items if len(t.split()) >= 8):
+        for step in (2, 3, 4, 5):
+            for edit in ("change", "insert", "drop"):
+                new = []
+                for j, w in enumerate(own):
+                    if j % step != step - 1 or edit == "insert":
+                        new.append(w)
+                    if j % step == step - 1 and edit != "drop":
+                        new.append(f"e{rng.randrange(9)}")
+                texts.append(" ".join([word() for _ in range(rng.randrange(30))] + new + [word() for _ in range(rng.randrange(30))]))
+        for share in (0.1, 0.2, 0.25, 0.3, 0.35):
+            for _ in range(4):
+                new = []
+                for w in own:
+                    kind = rng.random()
+                    if kind < share / 3:
+                        continue
+                    new += ["x"] if kind < share * 2 / 3 else ["x", w] if kind < share else [w]
+                texts.append(" ".join([word() for _ in range(9)] + new))
+    texts += ["they are three short words indeed", "yes", "yes and no", "A, b.", "a b c", "well: yes no maybe so!", "yes no maybe"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = decontaminate.leaks(documents(texts), benchmark).collect()
+    expected = all_pairs(texts, items)
+    assert {(r.doc_id, r.item_id) for r in rows} == expected and len(rows) == len(expected) > 150
+    for r in rows:
+        if r.item_id < 10:
+            assert r.score == score_of(words_of(items[r.item_id]), words_of(texts[r.doc_id]))
+
+
 def test_a_hot_passage_keeps_its_seeds_and_blocks_change_nothing(documents, spark, monkeypatch):
     items = [" ".join(f"i{k}w{j}" for j in range(20)) for k in range(5)]
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
