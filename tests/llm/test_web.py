@@ -273,6 +273,65 @@ def test_copies_of_one_article_are_no_template(pages):
     assert texts_of(pages(*rows)) == expected
 
 
+def test_names_that_change_from_page_to_page(pages):
+    """On the body, on a wrapper, on both, and as ids of their own; the article is the same slot."""
+    rows, expected = [], {}
+    kinds = ["<body class='{c}'>{a}", "<body><div class='wrap-{c}'>{a}</div>", "<body class='{c} b'><div id='{c}'>{a}</div>"]
+    for i in range(24):
+        c = "abcdefgh"[i % 8] + "x" * (i % 8)
+        a = f"<article><h1>T{i}</h1><p>body {i} text</p></article>"
+        page = kinds[i // 8].replace("<body", "<body", 1).format(c=c, a=f"<div>Site name and motto</div>{a}<div>Imprint</div>")
+        rows.append((i, f"http://h{i // 8}/", f"<html>{page}</body></html>"))
+        expected[i] = f"T{i} body {i} text"
+    assert texts_of(pages(*rows)) == expected
+
+
+def test_a_wrapper_without_an_article_element(pages):
+    rows, expected = [], {}
+    for i in range(10):
+        words = " ".join(f"w{i}x{k}" for k in range(30))
+        page = f"<body class='cat-{'abcdefghij'[i]}'><div class='top'>Site name</div><div class='entry post-{chr(97 + i)}'><h2>T{i}</h2><p>{words}</p></div><div class='end'>Imprint</div></body>"
+        rows.append((i, "http://h/", page))
+        expected[i] = f"T{i} {words}"
+    assert texts_of(pages(*rows)) == expected
+
+
+def test_the_header_of_an_article_holds_its_headline(pages):
+    page = "<body><header><h1>Site</h1></header>{}<article><header class='entry-header'><h1>T{}</h1></header><p>text {}</p><footer>tags</footer></article></body>"
+    rows = [(i, "http://h/", page.format("", i, i)) for i in range(7)]
+    assert texts_of(pages(*rows)) == {i: f"T{i} text {i}" for i in range(7)}
+
+
+def test_the_only_article_of_a_page_that_fits_no_template(pages):
+    rows = [(i, f"http://h{i}/", f"<body><div>menu of words</div><main><article><p>one {i}</p></article></main><div>end</div></body>") for i in range(3)]
+    rows += [(9, "http://two/", "<body><article>a</article><article>b</article>c</body>")]
+    got = texts_of(pages(*rows))
+    assert [got[i] for i in range(3)] == ["one 0", "one 1", "one 2"] and got[9] == "a b c"
+
+
+def test_deep_markup_costs_its_length(pages):
+    """20,000 nested elements: places stay short, the text is whole."""
+    import time
+
+    depth = 20_000
+    inner = "".join(f"<div>w{k} " for k in range(depth))
+    expected = " ".join(f"w{k}" for k in range(depth))
+    rows = [(i, "http://h/", f"<body><article>{inner}{i}</article></body>") for i in range(3)]
+    start = time.perf_counter()
+    got = texts_of(pages(*rows))
+    assert got == {i: f"{expected} {i}" for i in range(3)}
+    assert time.perf_counter() - start < 60
+    assert max(len(e.path) for e in html_text.events("<div class='a" + "b" * 5000 + "'>" * 200)) < 48 * 90
+
+
+def test_a_host_of_many_pages_with_names_of_their_own(pages):
+    rows = [
+        (i, "http://h/", f"<body id='page-{i}' class='t{'abcdefgh'[i % 8]}'><div class='n{'xyz'[i % 3]}'>Name</div><article><h1>T{i}</h1><p>text {i}</article><p>Imprint</body>")
+        for i in range(10_000)
+    ]
+    assert texts_of(pages(*rows)) == {i: f"T{i} text {i}" for i in range(10_000)}
+
+
 def test_odd_markup():
     cases = {"a < b": "a < b", "<": "<", "<p": "", "<!-- x": "", "<p>a</b>c": "ac", "<script>x": "", "</p>z": "z", "<a href='>'>q</a>": "q", "<p title=\"x>": ""}
     for page, expected in cases.items():
