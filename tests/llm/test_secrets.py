@@ -65,6 +65,55 @@ def test_redaction(documents):
     assert "spans" in out.columns
 
 
+def plainly_masked(text):
+    out, at = "", 0
+    for start, _, _, end in brute(text):
+        if start >= at:
+            out += text[at:start] + secrets.MASK
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_redaction_against_brute_force(documents, monkeypatch):
+    rng = random.Random(7)
+    bits = ["password=abcdefgh ", "é🎉", "token:0123456789abcdef01234567", " x ", "AKIA" + "A" * 16, "https://u:secretpw@h ", "\n"]
+    texts = [t for t in CASES if t] + ["".join(rng.choice(bits) for _ in range(rng.randrange(200))) for _ in range(40)]
+    expected = [plainly_masked(t) for t in texts]
+    assert [r.text for r in secrets.redact(documents(texts)).orderBy("doc_id").collect()] == expected
+    monkeypatch.setattr(secrets, "CUT", 3)
+    monkeypatch.setattr(secrets, "STEP", 2)
+    assert [r.text for r in secrets.redact(documents(texts)).orderBy("doc_id").collect()] == expected
+    rows = secrets.find_secrets(documents(texts)).collect()
+    assert all([tuple(s) for s in r.spans] == brute(texts[r.row.doc_id]) for r in rows)
+
+
+def test_a_hundred_thousand_matches_in_one_text(documents):
+    import time
+
+    text = "secret=abcdef " * 100_000
+    docs = documents([text])
+    start = time.perf_counter()
+    spans = secrets.find_secrets(docs).first().spans
+    assert len(spans) == 100_000 and tuple(spans[-1]) == (14 * 99_999, 0, "assign", 14 * 99_999 + 13)
+    out = secrets.redact(docs).first().text
+    assert out == "[secret] " * 100_000
+    assert time.perf_counter() - start < 90
+
+
+def test_few_candidates_leave_the_texts_where_they_are(documents, monkeypatch):
+    docs = documents(["secret=abcdef", "none", None])
+
+    def plan():
+        df = secrets.find_secrets(docs)
+        return df, df._jdf.queryExecution().executedPlan().toString()
+
+    df, text = plan()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    monkeypatch.setattr(secrets, "BROADCAST_BYTES", 0)
+    other, text = plan()
+    assert sorted(map(repr, df.collect())) == sorted(map(repr, other.collect()))
+
+
 def test_empty_table(documents, spark):
     assert secrets.find_secrets(documents(["x"]).limit(0)).collect() == []
 

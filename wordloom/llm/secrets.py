@@ -12,12 +12,14 @@ dropped, and the text behind it is searched on. Positions count code points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.expressions import let
+from wordloom.llm.shared import settled
 from wordloom.llm.trigrams import trigram_query
 
 
@@ -59,40 +61,87 @@ RULES = BASE + MORE
 #: What takes a secret's place.
 MASK = "[secret]"
 
+#: Numbers of a block whose sums are taken together, and levels of such blocks.
+STEP, LEVELS = 64, 3
+#: Characters of a text that are cut at once where it is masked.
+CUT = 1024
+#: Candidates are broadcast up to so many bytes and joined by shuffle beyond.
+BROADCAST_BYTES = 32 << 20
+
 SPAN = "struct<start: bigint, rank: int, kind: string, end: bigint>"
 
 
+def _prefixes(values: Column, fold: Callable[[Column, Column], Column], levels: int = LEVELS) -> Column:
+    """For each number of an array, the fold of 0 and the numbers before it.
+
+    Blocks are folded first, then the folds of the blocks before each block; a value costs half a block.
+    """
+
+    def folded(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0).cast("long"), fold)
+
+    def direct(every: Column) -> Column:
+        return F.transform(every, lambda _, i: folded(F.slice(every, 1, i)))
+
+    def in_blocks(every: Column) -> Column:
+        last = F.floor((F.size(every) - 1) / STEP).cast("int")
+        starts = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
+        blocks = F.transform(starts, lambda b: F.slice(every, b * STEP + 1, STEP))
+
+        def spread(parts: Column) -> Column:
+            before = _prefixes(F.transform(parts, folded), fold, levels - 1)
+            return let(
+                before,
+                lambda x: F.flatten(
+                    F.transform(
+                        parts,
+                        lambda part, i: F.transform(part, lambda _, j: fold(F.get(x, i), folded(F.slice(part, 1, j)))),
+                    )
+                ),
+            )
+
+        return let(blocks, spread)
+
+    return let(values, in_blocks if levels else direct)
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def _spans(text: Column, rule: Rule, rank: int) -> Column:
     """The rule's matches in ``text``. What ``split`` leaves between them gives their places."""
-    pattern = F.lit(rule.pattern)
     parts = F.struct(
         F.split(text, rule.pattern, -1).alias("between"),
-        F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"),
+        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("found"),
     )
 
-    def walk(p: Column) -> Column:
-        def step(state: Column, i: Column) -> Column:
-            start = state["at"] + F.length(F.get(p["between"], i))
-            match = F.get(p["found"], i)
-            end = start + F.length(match)
-            span = F.struct(
-                start.cast("long").alias("start"),
-                F.lit(rank).alias("rank"),
-                F.lit(rule.kind).alias("kind"),
-                end.cast("long").alias("end"),
-            )
-            good = F.length(F.regexp_extract(match, rule.pattern, rule.group)) >= rule.least
-            spans = F.concat(state["spans"], F.array(span)) if not rule.least else F.when(
-                good, F.concat(state["spans"], F.array(span))
-            ).otherwise(state["spans"])
-            return F.struct(end.cast("long").alias("at"), spans.alias("spans"))
-
-        start = F.struct(
-            F.lit(0).cast("long").alias("at"), F.from_json(F.lit("[]"), f"array<{SPAN}>").alias("spans")
+    def place(p: Column) -> Column:
+        sizes = F.transform(
+            p["found"], lambda m, i: (F.length(m) + F.length(F.get(p["between"], i))).cast("long")
         )
-        return F.aggregate(F.sequence(F.lit(0), F.size(p["found"]) - 1), start, step)["spans"]
 
-    return F.when(text.rlike(rule.pattern), let(parts, walk))
+        def span(before: Column) -> Column:
+            def one(match: Column, i: Column) -> Column:
+                start = F.get(before, i) + F.length(F.get(p["between"], i))
+                return F.struct(
+                    start.cast("long").alias("start"),
+                    F.lit(rank).alias("rank"),
+                    F.lit(rule.kind).alias("kind"),
+                    (start + F.length(match)).cast("long").alias("end"),
+                )
+
+            every = F.transform(p["found"], one)
+            if not rule.least:
+                return every
+            return F.filter(
+                every,
+                lambda _, i: F.length(F.regexp_extract(F.get(p["found"], i), rule.pattern, rule.group)) >= rule.least,
+            )
+
+        return let(_prefixes(sizes, _sum), span)
+
+    return F.when(text.rlike(rule.pattern), let(parts, place))
 
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -123,11 +172,17 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(row, spans): each row of ``docs`` as a struct with its secrets.
 
-    ``spans`` holds (start, rank, kind, end) in order of start, then rank. Null and empty texts have
-    none. Rows of one id share their candidate rules and are each verified on their own text; rows
-    without id are scanned by every rule.
+    ``spans`` holds (start, rank, kind, end) in order of start, then rank (the rules' order); matches of several
+    rules at one place are all listed. Null and empty texts have none. Rows of one id share their candidate
+    rules and are each verified on their own text; rows without id are scanned by every rule. All columns are
+    kept inside ``row``, so that no name can clash. An empty table gives no rows. Work on a very long text grows
+    with its length and, slowly, with its matches. Few candidates are broadcast to the texts; only if they
+    are many are the texts shuffled.
     """
-    found = candidates(docs, rules).select(F.col("doc_id").alias("_found_id"), F.col("kinds").alias("_kinds"))
+    found = settled(candidates(docs, rules), "candidates").select(F.col("doc_id").alias("_found_id"), F.col("kinds").alias("_kinds"))
+    size = found.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("n")).first().n or 0
+    if size <= BROADCAST_BYTES:
+        found = F.broadcast(found)
     packed = docs.select(F.struct("*").alias("_row"))
     joined = packed.join(found, F.col("_row.doc_id").cast("long") == F.col("_found_id"), "left")
     text = F.col("_row.text").cast("string")
@@ -149,6 +204,44 @@ def spans_text(spans: Column) -> Column:
     )
 
 
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with ``MASK`` for each span, one for spans that overlap. Positions are found in blocks of it."""
+
+    def piece(blocks: Column, start: Column, end: Column) -> Column:
+        first, last = F.floor(start / CUT).cast("int"), F.floor((end - 1) / CUT).cast("int")
+        cut = F.transform(
+            F.slice(blocks, first + 1, last - first + 1),
+            lambda block, i: F.substring(
+                block,
+                (F.greatest(start - (first + i) * CUT, F.lit(0)) + 1).cast("int"),
+                (F.least(end - (first + i) * CUT, F.lit(CUT)) - F.greatest(start - (first + i) * CUT, F.lit(0))).cast("int"),
+            ),
+        )
+        return F.when(start < end, F.array_join(cut, "")).otherwise("")
+
+    def masked(p: Column) -> Column:
+        def pieces(reach: Column) -> Column:
+            each = F.transform(
+                p["spans"],
+                lambda s, i: F.when(
+                    s["start"] >= F.get(reach, i),
+                    F.concat(piece(p["blocks"], F.get(reach, i), s["start"]), F.lit(MASK)),
+                ).otherwise(""),
+            )
+            tail = F.greatest(F.get(reach, F.size(reach) - 1), F.get(p["spans"], F.size(p["spans"]) - 1)["end"])
+            return F.concat(F.array_join(each, ""), piece(p["blocks"], tail, p["size"]))
+
+        ends = F.transform(p["spans"], lambda s: s["end"])
+        return let(_prefixes(ends, lambda a, b: F.greatest(a, b)), pieces)
+
+    parts = F.struct(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0)).alias("blocks"),
+        spans.alias("spans"),
+        F.length(text).cast("long").alias("size"),
+    )
+    return let(parts, masked)
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with each secret replaced by ``MASK``; overlapping ones share a mask.
 
@@ -156,18 +249,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     found = find_secrets(docs, rules)
     text = F.col("row.text").cast("string")
-
-    def step(state: Column, s: Column) -> Column:
-        before = F.substring(text, (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        fresh = s["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], before, F.lit(MASK))).otherwise(state["out"]).alias("out"),
-        )
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
-    new = F.when(F.size("spans") > 0, clean).otherwise(text)
+    new = F.when(F.size("spans") > 0, _masked(text, F.col("spans"))).otherwise(text)
     columns = []
     for name in docs.columns:
         if name == "text":
