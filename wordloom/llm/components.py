@@ -9,6 +9,8 @@ from wordloom.llm.shared import settled
 
 #: Edge directions up to which a graph is kept in one partition, so that rounds need no shuffle.
 FEW_EDGES = 200_000
+#: Parts in which the nodes of one label look it up.
+SLICES = 8
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -44,8 +46,12 @@ def components(edges: DataFrame) -> DataFrame:
         step = labels.join(near, labels.node == near.a, "left").select(
             "node", "comp", F.least("comp", "near").alias("new")
         )
-        up = step.select(F.col("node").alias("up"), F.col("new").alias("upper"))
-        jumped = step.join(up, step.new == up.up, "left").select(
+        # only labels that moved themselves are looked up; those of one label come in slices
+        moved = step.where("new < node").select(
+            F.col("node").alias("up"), F.col("new").alias("upper"), F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("part")
+        )
+        sliced = step.withColumn("slice", F.pmod(F.xxhash64("node"), F.lit(SLICES)).cast("int"))
+        jumped = sliced.join(moved, (sliced.new == moved.up) & (sliced.slice == moved.part), "left").select(
             "node", "comp", F.least("new", "upper").alias("new")
         )
         jumped = placed(settled(jumped, "labels"))

@@ -16,8 +16,9 @@ of two sketches is the sketch of the union, and equal registers grow with the Ja
    component become further centres, ``CENTRES`` in the next round and ``CENTRES`` times as many in
    each after it, until all have been. A pair in one component needs no test; others meet in the
    first band that they share, and only if a second sketch of ``BINS`` bins, each with a code of its
-   least hash, does not rule them out at ``SIGMAS`` standard errors. So no bucket is expanded
-   into all pairs, none is cut, and no link between components is lost.
+   least hash, does not rule them out at ``SIGMAS`` standard errors; they go through the likelihood and
+   the verification like the pairs of the first round. So no bucket is expanded into all pairs, none is
+   cut, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -280,7 +281,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     ``class_id`` is the smallest id with the same set. Null, empty and word-free texts have an empty
     set, are linked with nothing and kept. Rows of one id are one document, linked if any of
     them is. A row without id forms no links: its component is null and it is kept. Further columns
-    are ignored. An empty table gives no rows.
+    are ignored. An empty table gives no rows. Of ties, in classes, buckets and components, the smallest id
+    counts. A very long text is a chunk of its own; its set takes eight bytes for each of its words.
     """
     count = BANDS * ROWS
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
@@ -381,7 +383,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
             & _plausible(F.col("kx"), F.col("codes"), F.col("nx"), F.col("n"), percent)
         )
         fresh = fresh.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-        more = linked(settled(fresh, "likely"))
+        more = linked(settled(likely(settled(fresh, "plausible")), "likely"))
         used = settled(used.unionByName(chosen), "used")
         wanted *= CENTRES
         # new links join whole components
