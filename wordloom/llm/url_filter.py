@@ -34,8 +34,8 @@ RULES = (
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Longest word that a label is split into.
 LONGEST = 24
-#: Distinct hosts up to which their rules are broadcast to the urls.
-BROADCAST_HOSTS = 100_000
+#: Bytes up to which the hosts' rules are broadcast to the urls.
+BROADCAST_BYTES = 32 << 20
 #: Added to each token count.
 SMOOTHING = 1.0
 
@@ -76,7 +76,8 @@ def matched_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     )
     found = suffixes.join(own, "suffix").groupBy("host").agg(F.collect_list("rule").alias("_rules"))
     found = settled(found, "host-rules")
-    if found.count() <= BROADCAST_HOSTS:
+    size = found.agg(F.sum(F.length(F.to_json(F.struct("*")))).alias("n")).first().n or 0
+    if size <= BROADCAST_BYTES:
         found = F.broadcast(found)
     joined = urls.join(found, "host", "left")
     fits = F.filter("_rules", lambda r: F.startswith(F.col("path"), r["start"]))
@@ -163,7 +164,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     ``score`` is the log odds of block against allow and null where a rule decides; equal odds
     allow. A null url, or one without ``://``, has an empty host and path and no tokens: the share
     of blocked examples decides. Without any rule all urls are allowed. A null html has no title.
-    Further columns are ignored, repeated rows are judged alike.
+    Further columns are ignored, repeated rows are judged alike, an empty table gives no rows. Work on a very
+    long url or page grows with its length; of equally probable splits the one with the longest last word counts.
     """
     spark = pages.sparkSession
     if rules is None:
@@ -185,7 +187,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
         .select("host", "skeleton", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("allow", "block", "open")])
     )
     keys = settled(keys, "url-keys")
-    found = tokens(keys.select("host", "skeleton"), word_counts(titles))
+    words = settled(word_counts(titles), "title-words")  # the html is read once
+    found = tokens(keys.select("host", "skeleton"), words)
     placed = settled(found.join(keys, ["host", "skeleton"]), "url-tokens")
     model = placed.groupBy("token").agg(
         F.sum(F.col("times") * F.col("allow")).alias("allow"), F.sum(F.col("times") * F.col("block")).alias("block")
