@@ -1,0 +1,201 @@
+"""Quality rules and the ordinal classifier against plain versions of them."""
+
+import math
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from wordloom.llm import ordinal_quality, quality_rules
+from wordloom.llm.hashing import Words, mix, text_bytes
+
+FOLDER = "/root/testdata/sf0.01"
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+# --- quality rules -------------------------------------------------------------------------
+
+
+def vector(text):
+    """The statistics of a text and its vector, by their definitions."""
+    words = WORD.findall(text or "")
+    n, chars = len(words), sum(map(len, words))
+    windows = Counter(tuple(words[k : k + 3]) for k in range(n - 2))
+    repeats = len({k + j for k in range(n - 2) if windows[tuple(words[k : k + 3])] > 1 for j in range(3)})
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    symbols = sum(c in "#*$%&|<>" for c in text or "")
+    capitals = sum("A" <= c <= "Z" for c in text or "")
+    failed = n < 50 or 100 * repeats > 50 * n
+    if not n:
+        return failed, None
+    again = (len(lines) - len(set(lines))) / len(lines)
+    return failed, [math.log(n), math.log(chars / n), math.log1p(symbols / n), again, repeats / n, capitals / chars]
+
+
+def quantile(values, share):
+    """The smallest value that so large a share of the values does not exceed."""
+    return sorted(values)[max(math.ceil(share * len(values)) - 1, 0)]
+
+
+def estimate(rows):
+    """Minimum covariance determinant: two starts, concentration steps, the smaller determinant."""
+    rows = np.array(rows)
+    floor = np.diag([quality_rules.FLOORS[n] ** 2 for n in quality_rules.NAMES])
+    middle = np.array([quantile(c, 0.5) for c in rows.T])
+    spread = [((quantile(c, 0.75) - quantile(c, 0.25)) / 1.349) ** 2 for c in rows.T]
+    best = None
+    for centre, cover in ((rows.mean(0), np.cov(rows.T, bias=True) + floor), (middle, np.diag(spread) + floor)):
+        for _ in range(quality_rules.STEPS):
+            d2 = np.einsum("ij,jk,ik->i", rows - centre, np.linalg.inv(cover), rows - centre)
+            near = rows[d2 <= quantile(d2, quality_rules.SHARE) * (1 + 1e-12)]
+            centre, cover = near.mean(0), quality_rules.CONSISTENCY * np.cov(near.T, bias=True) + floor
+        size = np.linalg.slogdet(cover)[1]
+        if best is None or size < best[0] - 1e-9:
+            best = size, centre, cover, len(near)
+    return best
+
+
+def test_verdicts_against_a_plain_version(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    facts = {d.doc_id: vector(d.text) for d in docs}
+    rows = Counter((d.lang, d.source) for d in docs if facts[d.doc_id][1])
+    own = {d.doc_id: (d.lang, d.source if rows[d.lang, d.source] >= quality_rules.OWN_GROUP else "") for d in docs}
+    groups = defaultdict(list)
+    for d in docs:
+        if facts[d.doc_id][1]:
+            groups[own[d.doc_id]].append(facts[d.doc_id][1])
+    found = {g: estimate(r) for g, r in groups.items() if len(r) > 20}
+    judged = rejected = 0
+    for r in quality_rules.query(spark, FOLDER).collect():
+        failed, x = facts[r.doc_id]
+        assert r.base_failed == failed
+        model = found.get(own[r.doc_id])
+        if x is None or model is None or model[3] < quality_rules.POOLED_GROUP * quality_rules.SHARE:
+            assert r.distance is None and r.kept == (not failed)
+            continue
+        y = np.array(x) - model[1]
+        distance = y @ np.linalg.inv(model[2]) @ y
+        assert r.distance == pytest.approx(distance, rel=1e-6, abs=1e-6)
+        assert r.kept == (not failed and distance <= quality_rules.CUTOFF)
+        judged += 1
+        rejected += not failed and not r.kept
+    assert judged > 500 and rejected > 5
+
+
+# --- ordinal classifier --------------------------------------------------------------------
+
+
+def hashed(word, seed, fold):
+    data, offsets = text_bytes(pa.array([word]))
+    own = Words(seed, fold).hash_spans(data, np.array([0]), np.array([len(data)]))
+    return int(own[0])
+
+
+def bucket_of(value):
+    return value >> (64 - int(math.log2(ordinal_quality.BUCKETS)))
+
+
+def one(number):
+    return int(mix(np.array([number], np.uint64))[0])
+
+
+def plain_features(text):
+    """Distinct words, and the shares of shapes, of repeats of the word before, and of words said again."""
+    words = WORD.findall(text or "")
+    keys = [hashed(w, 101, True) for w in words]
+    found = defaultdict(float)
+    buckets = Counter(bucket_of(k) for k in keys)
+    extra = defaultdict(float)
+    for w in words:
+        shape = "".join("A" if "A" <= c <= "Z" else "0" if c.isascii() and c.isdigit() else "a" if c.islower() and c.isascii() or ord(c) > 127 else c for c in w)
+        shape = re.sub(r"(.)\1+", r"\1", shape)
+        extra[bucket_of(one(hashed(shape, 102, False) ^ 7))] += 1
+    for a, b in zip(keys, keys[1:]):
+        extra[bucket_of(one(1))] += a == b
+    extra[bucket_of(one(2))] += sum(n for n in buckets.values() if n > 1)
+    for b in buckets:
+        found[b] += 1.0
+    for b, n in extra.items():
+        if n:
+            found[b] += ordinal_quality.SHAPES * n / len(words)
+    return dict(found)
+
+
+TEXTS = ["The cat sat. The CAT sat on 12 mats", "a a a b", "", None, "é É ß x1y2-Z", "one", "!!! ??? !!! x"]
+
+
+def test_features_against_a_plain_version():
+    data, offsets = text_bytes(pa.array(TEXTS))
+    bucket, value, bounds = ordinal_quality.Features()(data, offsets)
+    for i, text in enumerate(TEXTS):
+        got = defaultdict(float)
+        for b, v in zip(bucket[bounds[i] : bounds[i + 1]].tolist(), value[bounds[i] : bounds[i + 1]].tolist(), strict=True):
+            got[b] += v
+        expected = plain_features(text)
+        assert got.keys() == expected.keys(), text
+        assert all(got[b] == pytest.approx(expected[b]) for b in expected)
+
+
+def plain_fit(rows, grades, buckets):
+    """The adaptive gradient steps of the module, weight by weight, with a numeric derivative of the loss."""
+    count = Counter(b for r in rows for b in r)
+    rows = [{b: v for b, v in r.items() if count[b] >= ordinal_quality.FEW} for r in rows]
+    share = [min(max(sum(g > k for g in grades) / len(grades), 0.001), 0.999) for k in range(2)]
+    cut = [-math.log(s / (1 - s)) for s in share]
+    theta = [0.0] * buckets + [cut[0], math.log(max(cut[1] - cut[0], 0.05))]
+    of = Counter(grades)
+    weight = [math.sqrt(len(grades) / (3 * max(of[g], 1))) for g in grades]
+    mean = sum(weight) / len(weight)
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+
+    def loss(t):
+        cuts = [t[buckets], t[buckets] + math.exp(t[buckets + 1])]
+        total = 0.0
+        for row, g, w in zip(rows, grades, weight, strict=True):
+            score = sum(v * t[b] for b, v in row.items())
+            low = sigmoid(cuts[g - 1] - score) if g else 0.0
+            high = sigmoid(cuts[g] - score) if g < 2 else 1.0
+            total -= w / mean * math.log(max(high - low, 1e-9))
+        return total / len(rows) + ordinal_quality.PENALTY / 200 * sum(x * x for x in t[:buckets])
+
+    first, second = [0.0] * len(theta), [0.0] * len(theta)
+    for step in range(1, ordinal_quality.ROUNDS + 1):
+        gradient = []
+        for j in range(len(theta)):
+            up, down = list(theta), list(theta)
+            up[j] += 1e-5
+            down[j] -= 1e-5
+            gradient.append((loss(up) - loss(down)) / 2e-5)
+        rate = 0.1 * (1 - 0.9 * step / ordinal_quality.ROUNDS)
+        for j, g in enumerate(gradient):
+            first[j] = 0.9 * first[j] + 0.1 * g
+            second[j] = 0.99 * second[j] + 0.01 * g * g
+            theta[j] -= rate * (first[j] / (1 - 0.9**step)) / (math.sqrt(second[j] / (1 - 0.99**step)) + 1e-6)
+    return theta[:buckets], [theta[buckets], theta[buckets] + math.exp(theta[buckets + 1])], loss
+
+
+def test_fit_against_a_plain_version(monkeypatch):
+    monkeypatch.setattr(ordinal_quality, "BUCKETS", 8)
+    monkeypatch.setattr(ordinal_quality, "ROUNDS", 25)
+    rng = np.random.default_rng(3)
+    rows = [{int(b): round(float(rng.random()) + 0.5, 3) for b in rng.choice(8, 3, replace=False)} for _ in range(40)]
+    grades = [int(min(2, max(0, round(sum(v for b, v in r.items() if b < 4) - 1 + rng.normal() / 3)))) for r in rows]
+    bucket = np.array([b for r in rows for b in r])
+    value = np.array([v for r in rows for v in r.values()])
+    bounds = np.arange(0, 3 * len(rows) + 1, 3)
+    model = ordinal_quality.fit(bucket, value, bounds, np.array(grades))
+    weights, cuts, _ = plain_fit(rows, grades, 8)
+    assert model.weights == pytest.approx(weights, abs=2e-3)
+    assert model.thresholds == pytest.approx(cuts, abs=2e-3)
+
+
+def test_scores_against_a_plain_version(documents):
+    rng = np.random.default_rng(4)
+    model = ordinal_quality.Model(rng.normal(size=ordinal_quality.BUCKETS), np.array([-0.5, 1.0]))
+    for r in ordinal_quality.grade(documents(TEXTS), model).collect():
+        score = sum(v * model.weights[b] for b, v in plain_features(TEXTS[r.doc_id]).items())
+        tails = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        assert r.expected_grade == pytest.approx(sum(tails)) and r.p_good == pytest.approx(tails[1])
+        assert r.kept == (tails[1] >= ordinal_quality.KEEP)
