@@ -18,7 +18,7 @@ from wordloom.llm import (
     secrets,
     sentencepiece_codec,
 )
-from wordloom.llm.shared import fresh_path
+from wordloom.llm.shared import fresh_path, settled
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -32,11 +32,10 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep. Of rows of one id, each must be kept."""
-    judged = quality_rules.judge(docs)
-    kept = _without(docs, judged.where("not kept"))
+    gone = settled(quality_rules.judge(docs).where("not kept").select("doc_id"), "rejected")
+    kept = _without(docs, gone)
     # without an id a row cannot be looked up; it stays if it passes the fixed rules by itself
-    failed = quality_rules.statistics(kept.where("doc_id is null")).where("base_failed")
-    if failed.isEmpty():
+    if gone.where("doc_id is null").isEmpty():
         return kept
     text = F.coalesce("text", F.lit(""))
     words = quality_rules.words_of(text)
