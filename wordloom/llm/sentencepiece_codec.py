@@ -3,12 +3,13 @@
 The model file is parsed from its protobuf wire format. Its normaliser (the compiled character map,
 removal of extra spaces, dummy prefix), the space marker, the scores and the byte pieces are rebuilt
 as a ``tokenizers`` object: a unigram model from its scores, or a pair-merge model whose merge order
-follows the scores of the merged pieces. Every encoding is compared with the sentencepiece library
-and every document is decoded again.
+follows the scores of the merged pieces. Its ids are the result; every encoding is compared with the
+sentencepiece library, and every document is decoded again.
 
 Where no piece has the space marker behind another character, as is usual, a text is a sequence of
 independent units, each a run of spaces with the characters up to the next space. Then each
-distinct unit of a chunk is encoded once, in one multithreaded batch, and the ids are gathered.
+distinct unit of a chunk is encoded once, with others in lines of text that go to both libraries in
+multithreaded batches, and the ids are gathered. Units are told apart by two independent hashes.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.hashing import U64, Poly, chunks, mix, text_bytes
+from wordloom.llm.hashing import U64, chunks, give_back, span_hashes, text_bytes
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: The largest model file that is sent to the executors.
@@ -31,6 +33,8 @@ MODEL_BYTES = 64 << 20
 CHUNK = 1 << 21
 #: Encoded units that a task remembers.
 REMEMBER = 1 << 17
+#: Bytes of units that are encoded in one call, and bytes of a line of units.
+CALL, LINE = 1 << 17, 2_000
 THREADS = 2
 
 #: Fixed values of the model format: the space marker and the kinds of pieces.
@@ -190,7 +194,6 @@ class Codec:
         self.exact = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.threads = threads
         self.by_unit = self.model.splits_at_spaces()
-        self.poly = Poly(21)
         self.mark_id = {t: i for i, (t, _, _) in enumerate(self.model.pieces)}.get(MARK)
         self.by_unit &= self.mark_id is not None
         spelled = []
@@ -209,21 +212,67 @@ class Codec:
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, U64)
+        self.keys = np.zeros((0, 2), U64)  # by the first hash; the second tells units of one hash apart
         self.ids = np.zeros(0, np.int32)
         self.at = np.zeros(1, np.int64)
         self.differs = np.zeros(0, bool)
 
     def encode_texts(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Ids of each text, those of the sentencepiece library, and where the backend differs."""
+        """Ids of each text by the backend, and where those of the sentencepiece library differ."""
         fast = getattr(self.backend, "encode_batch_fast", self.backend.encode_batch)
         mine = [e.ids for e in fast(texts, add_special_tokens=False)]
         theirs = self.exact.encode(texts, num_threads=self.threads)
         differs = np.array([a != b for a, b in zip(mine, theirs, strict=True)], bool)
-        return [np.array(x, np.int32) for x in theirs], differs
+        return [np.array(x, np.int32) for x in mine], differs
+
+    def _in_lines(self, units: list[bytes]):
+        """(flat ids, ids per unit) of units that hold more than spaces; None where a unit needs a look of its own."""
+        raw, ends = b"".join(units), np.cumsum([len(u) for u in units])
+        cuts = ends[np.append(np.diff(ends // LINE) > 0, True)].tolist()
+        lines = [raw[a + 1 : z].decode("utf-8", "replace") for a, z in zip([0, *cuts[:-1]], cuts, strict=True)]
+        fast = getattr(self.backend, "encode_batch_fast", self.backend.encode_batch)
+        mine = _flat([e.ids for e in fast(lines, add_special_tokens=False)])
+        theirs = _flat(self.exact.encode(lines, num_threads=self.threads))
+        if not np.array_equal(mine, theirs):
+            return None
+        token_ends = np.cumsum(self.length[mine])
+        if not len(token_ends) or token_ends[-1] != ends[-1]:
+            return None
+        last = np.searchsorted(token_ends, ends)
+        if not np.array_equal(token_ends[last], ends):
+            return None
+        return mine, np.diff(last, prepend=-1)
+
+    def _encode_units(self, units: list[bytes], together: bool):
+        """(flat ids, ids per unit, differences) of units with their leading spaces."""
+        flat, counts, differs, first = [np.zeros(0, np.int32)], [], [], 0
+        while first < len(units):
+            last, size = first, 0
+            while last < len(units) and (last == first or size < CALL):
+                size += len(units[last])
+                last += 1
+            part = units[first:last]
+            found = self._in_lines(part) if together else None
+            if found is None:
+                ids, off = self.encode_texts([u[1:].decode("utf-8", "replace") for u in part])
+                for i, unit in enumerate(part):
+                    if len(unit) == 1:  # one space alone
+                        ids[i] = np.array([self.mark_id], np.int32)
+                found = np.concatenate([flat[0][:0], *ids]), np.array([len(x) for x in ids], np.int64)
+            else:
+                off = np.zeros(len(part), bool)
+            flat.append(found[0])
+            counts.append(found[1])
+            differs.append(off)
+            first = last
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate(flat), np.concatenate(counts or none), np.concatenate(differs or [np.zeros(0, bool)])
 
     def _units(self, data: np.ndarray, offsets: np.ndarray):
-        """Ids of a chunk by its distinct units: (flat ids, offsets per text, differences per text)."""
+        """Ids of a chunk by its distinct units: (flat ids, offsets per text, differences per text).
+
+        None if two different units share a hash.
+        """
         sizes = np.diff(offsets)
         full = np.flatnonzero(sizes)
         data = np.insert(data, offsets[:-1][full], 32)
@@ -234,30 +283,37 @@ class Codec:
         first[offsets[:-1][full]] = True
         start = np.flatnonzero(first)
         end = np.append(start[1:], len(data))
-        key = mix(self.poly.spans(self.poly.prefix(data), start, end) ^ (end - start).astype(U64))
+        key, check = (span_hashes(data, start, end, seed) for seed in (21, 22))
         unique, index, inverse = np.unique(key, return_index=True, return_inverse=True)
+        if not np.array_equal(check[index][inverse], check):
+            return None
         if len(self.keys) > REMEMBER:
             self.forget()
-        place = np.searchsorted(self.keys, unique)
+        place = np.searchsorted(self.keys[:, 0], unique)
         known = place < len(self.keys)
-        known[known] = self.keys[place[known]] == unique[known]
+        known[known] = self.keys[place[known], 0] == unique[known]
+        if not np.array_equal(self.keys[place[known], 1], check[index][known]):
+            return None
         new = np.flatnonzero(~known)
         if len(new):
             raw = data.tobytes()
-            units = [raw[start[i] + 1 : end[i]].decode("utf-8", "replace") for i in index[new]]
-            ids, differs = self.encode_texts(units)
-            for i, unit in enumerate(units):
-                if not unit:  # one space alone
-                    ids[i] = np.array([self.mark_id], np.int32)
-            lengths = np.append(np.diff(self.at), [len(x) for x in ids]).astype(np.int64)
-            keys = np.append(self.keys, unique[new])
-            flat = np.concatenate([self.ids, *ids])
+            units = [raw[start[i] : end[i]] for i in index[new]]
+            plain = np.array([not u.isspace() for u in units], bool)
+            new = np.concatenate([new[plain], new[~plain]])
+            parts = [
+                self._encode_units([u for u, p in zip(units, plain.tolist(), strict=True) if p == some], some)
+                for some in (True, False)
+            ]
+            ids, sizes, differs = (np.concatenate(x) for x in zip(*parts, strict=True))
+            lengths = np.append(np.diff(self.at), sizes).astype(np.int64)
+            keys = np.concatenate([self.keys, np.stack([unique[new], check[index][new]], 1)])
+            flat = np.concatenate([self.ids, ids])
             begin = np.cumsum(lengths) - lengths
-            order = np.argsort(keys)
+            order = np.argsort(keys[:, 0])
             self.ids = _gather(flat, begin[order], lengths[order])
             self.keys, self.at = keys[order], np.append(0, np.cumsum(lengths[order]))
             self.differs = np.append(self.differs, differs)[order]
-            place = np.searchsorted(self.keys, unique)
+            place = np.searchsorted(self.keys[:, 0], unique)
         place = place[inverse]
         count = self.at[place + 1] - self.at[place]
         flat = _gather(self.ids, self.at[place], count)
@@ -270,7 +326,9 @@ class Codec:
         mark = MARK.encode()
         raw = data.tobytes()
         if self.by_unit and mark not in raw:
-            return self._units(data, offsets)
+            found = self._units(data, offsets)
+            if found is not None:
+                return found
         texts = [raw[a:z].decode("utf-8", "replace") for a, z in zip(offsets[:-1], offsets[1:], strict=True)]
         ids, differs = self.encode_texts(texts)
         flat = np.concatenate([np.zeros(0, np.int32), *ids])
@@ -291,6 +349,10 @@ class Codec:
         return data, offsets
 
 
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int32, sum(map(len, lists)))
+
+
 def _gather(values: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Concatenation of ``values[begin : begin + length]``."""
     ends = np.cumsum(length)
@@ -329,6 +391,8 @@ def _encoder(model, threads: int):
                     ],
                     names=["doc_id", "ids", "round_trip", "n_differences"],
                 )
+        del codec
+        give_back()
 
     return run
 
@@ -347,10 +411,11 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, threads: int = THREADS
 
     ``model_path`` is a file of the driver, sent to the executors as bytes. Null and empty texts
     have no ids. ``n_differences`` counts units (whole texts, where the model needs them) at which
-    the rebuilt tokenizer and the sentencepiece library differ; the library's ids are returned.
+    the rebuilt tokenizer, whose ids are returned, and the sentencepiece library differ.
     ``round_trip`` is false where decoding gives another text: with normalisation, with the space
     marker in the text, or with unknown characters in a model without byte pieces. Repeated rows
-    are encoded each; null ids stay null; further columns are ignored.
+    are encoded each; null ids stay null; further columns are ignored; an empty table gives no rows. A very
+    long text is a chunk of its own; its memory grows with its length.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string")).mapInArrow(
         _encoder(_shipped(docs, model_path), threads),
