@@ -230,7 +230,8 @@ def grade(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
     """(doc_id, expected_grade, p_good, kept) for each row of ``docs``.
 
     Null, empty and word-free texts have no features and get the thresholds' own probabilities.
-    Repeated rows and null ids are scored like others; further columns are ignored.
+    Repeated rows and null ids are scored like others; further columns are ignored; an empty table gives no
+    rows. Equal texts get equal scores. A very long text is a chunk of its own.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     model = shipped(docs.sparkSession, model)  # BUCKETS weights

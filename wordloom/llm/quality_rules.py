@@ -282,7 +282,9 @@ def judge(docs: DataFrame) -> DataFrame:
 
     Null languages and sources form groups of their own. A document without words has no vector and
     fails the fixed rules. ``distance`` is null where a group is too small to judge. Repeated rows
-    and null ids are judged like others; an empty table gives no rows; further columns are ignored.
+    and null ids are judged like others; an empty table gives no rows; further columns are ignored. Of
+    documents at one distance none is preferred; of two equal estimates the first start counts. Work on a very
+    long text grows with its length.
     """
     rows = settled(statistics(docs), "statistics")
     lang, source = F.to_json(F.array("lang")), F.to_json(F.array("source"))

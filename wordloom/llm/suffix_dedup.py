@@ -459,7 +459,8 @@ def remove_repeats(
     Precedence follows ``doc_id``; rows of one id are compared in no defined order and share their
     removed ranges, so ids should be unique. A row whose id is null is neither compared nor cut.
     Null text counts as empty; a text shorter than ``length`` bytes can lose nothing. Further
-    columns of ``docs`` are ignored. ``spans`` are the maximal removed runs.
+    columns of ``docs`` are ignored. ``spans`` are the maximal removed runs. An empty table gives no rows. Of
+    equal strings the one of the smallest id and place stays. A very long text is hashed in pieces.
     """
     if not 0 < seed <= length - 16 or length > 240:
         raise ValueError("need 0 < seed <= length - 16 and length <= 240")

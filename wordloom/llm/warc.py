@@ -137,7 +137,8 @@ def write_warc(pages: DataFrame, folder: str | None = None) -> DataFrame:
 
     ``folder`` must be shared by all executors; by default it is a new one under
     ``spark.checkpoint.dir``. Null html is an empty payload. Rows without id are always responses.
-    Rows that share the largest id of a payload are all responses. Further columns are ignored.
+    Rows that share the largest id of a payload are all responses. Further columns are ignored. An empty
+    table gives an empty manifest. A very long page is a member of its own, held once in its task.
     """
     folder = folder or fresh_path(pages.sparkSession, "warc")
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
@@ -297,7 +298,7 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bo
 
     Each byte range is a row dealt to the tasks by a hash of its place. Other record types are
     passed over. Payloads are checked against their digests; of a revisit, length and digest are
-    those of the payload it refers to. A damaged file raises an error.
+    those of the payload it refers to. A damaged file raises an error; no files give no rows.
     """
     spark = files.sparkSession
     splits = files.where("size > 0").select(
