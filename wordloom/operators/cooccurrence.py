@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import line_array, token_array
+from wordloom.operators.bands import WIDE, band_counts
+from wordloom.operators.bloom import filtered
+from wordloom.operators.lists import in_row
 from wordloom.operators.words import drop_words, keep_words
-from wordloom.sources.wordlists import are_few
+from wordloom.sources.wordlists import are_few, as_words
 
 
 def _check_distance(distance: int) -> None:
@@ -140,6 +143,27 @@ def _counted_pairs(texts, distance, vocabulary, stopwords, small_lists, count, *
     return _filter(counts, "b", vocabulary, stopwords)
 
 
+def _pair_counts(texts, distance, vocabulary, stopwords, small_lists, **window):
+    """``(a, b, cnt)`` of unordered pairs, by the plan that the distance and the lists ask for.
+
+    Short windows are expanded, wide ones counted in blocks. A vocabulary that is not known to be small
+    becomes a Bloom filter on the tokens before they are paired; the pairs that are left are joined to it.
+    """
+    _check_distance(distance)
+    small = _are_small(vocabulary, stopwords, small_lists)
+    if vocabulary is not None and not small:
+        words = filtered(as_words(texts.sparkSession, vocabulary))
+        counts = _filter(band_counts(texts, distance, [words], **window), "a", vocabulary, stopwords)
+        return _filter(counts, "b", vocabulary, stopwords)
+    if distance < WIDE:
+        return _counted_pairs(texts, distance, vocabulary, stopwords, small_lists, _count, **window)
+    if small:
+        kept, gone = ([] if w is None else [in_row(texts.sparkSession, w)] for w in (vocabulary, stopwords))
+        return band_counts(texts, distance, kept, gone, **window)
+    counts = _filter(band_counts(texts, distance, **window), "a", None, stopwords)
+    return _filter(counts, "b", None, stopwords)
+
+
 def cooccurrence_pairs(
     texts: DataFrame,
     distance: int,
@@ -155,14 +179,14 @@ def cooccurrence_pairs(
     With a vocabulary both words must be in it; with stopwords neither may be one. A list given
     in code is known to be small or not; one given as a DataFrame counts as large unless
     ``small_lists`` says otherwise (a top-k list is small). No join is forced to broadcast.
+    From ``bands.WIDE`` positions on, the cost of a window follows the words that the lists leave in it.
     """
-    counts = _counted_pairs(
+    counts = _pair_counts(
         texts,
         distance,
         vocabulary,
         stopwords,
         small_lists,
-        _count,
         tokenizer=tokenizer,
         scope=scope,
         text=text,
@@ -175,6 +199,16 @@ def _sweep(texts, distances, vocabulary, stopwords, small_lists, **window) -> Da
     for distance in distances:
         _check_distance(distance)
     columns = [f"cnt_d{d}" for d in distances]
+    if distances[-1] >= WIDE or vocabulary is not None and not _are_small(vocabulary, stopwords, small_lists):
+        # each distance by the plan that it asks for, side by side
+        found = [
+            _pair_counts(texts, d, vocabulary, stopwords, small_lists, **window).select(
+                "a", "b", *[(F.col("cnt") if c == own else F.lit(0).cast("long")).alias(c) for c in columns]
+            )
+            for d, own in zip(distances, columns)
+        ]
+        counts = reduce(DataFrame.unionByName, found).groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in columns])
+        return _mirrored(counts, columns)
     within = [F.count_if(F.col("offset") <= d).alias(c) for d, c in zip(distances, columns)]
     counts = _counted_pairs(
         texts,
@@ -198,7 +232,10 @@ def cooccurrence_sweep(
     text: str = "text",
     small_lists: bool | None = None,
 ) -> DataFrame:
-    """``(word, neighbor, cnt_d<k> ...)`` for several distances, in one pass over the text."""
+    """``(word, neighbor, cnt_d<k> ...)`` for several distances.
+
+    Short windows over small lists take one pass over the text, others one for each distance.
+    """
     return _sweep(
         texts, distances, vocabulary, stopwords, small_lists, tokenizer=tokenizer, scope=scope, text=text
     )
@@ -266,13 +303,12 @@ def all_word_stripes(
     small_lists: bool | None = None,
 ) -> DataFrame:
     """Stripes of every word that is no stopword; a word with no neighbor has an empty one."""
-    counts = _counted_pairs(
+    counts = _pair_counts(
         texts,
         distance,
         None,
         stopwords,
         small_lists,
-        _count,
         tokenizer="nonword",
         scope=scope,
         text=text,
