@@ -31,7 +31,7 @@ def parser() -> argparse.ArgumentParser:
     for command in (pairs, frequent, stripes, every):
         command.add_argument("distance", type=int)
     frequent.add_argument("--k", type=int, default=50)
-    every.add_argument("--parts", type=int, default=1)
+    every.add_argument("--parts", type=int, required=True, help="distinct words / 100,000")
     df = job("document-frequency", jobs.document_frequency, "corpus", "out", "stopwords")
     job("top-terms", jobs.top_terms, "df_table", "out").add_argument("--k", type=int, default=100)
     tfidf = job("tf-idf", jobs.tf_idf, "corpus", "out", "df_table")
@@ -50,7 +50,8 @@ def main(arguments: list[str] | None = None) -> None:
     options = vars(parser().parse_args(arguments))
     run, name = options.pop("run"), options.pop("job")
     spark = SparkSession.builder.appName(f"wordloom {name}").getOrCreate()
-    run(spark, **options)
+    for counter, value in (run(spark, **options) or {}).items():
+        print(f"{counter}\t{value}")
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.porter import stem, stem_array
 from wordloom.functions.text import token_array
+from wordloom.operators.lists import let, short_list
 from wordloom.operators.words import drop_words
 from wordloom.sources.wordlists import LITERAL_WORDS
 
@@ -19,9 +20,16 @@ def _quoted(word: str) -> str:
     return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _document_terms(docs, stopwords, tokenizer, stemmed, doc_id, text) -> DataFrame:
+def _document_terms(docs, stopwords, tokenizer, stemmed, doc_id, text, small_stopwords=False) -> DataFrame:
     """``(doc_id, term)`` and whether a row of ``docs`` gives each of its terms once."""
     words = token_array(text, tokenizer)
+    if small_stopwords and isinstance(stopwords, DataFrame):
+        gone = short_list(stopwords)
+        rows = docs.select(F.col(doc_id).alias("doc_id"), F.array_distinct(words).alias("words"), gone.value.alias("gone"))
+        kept = let(F.col("gone"), lambda g: F.filter("words", lambda w: (w != "") & ~gone.holds(g, w)))
+        terms = F.array_distinct(stem_array(kept)) if stemmed else kept
+        rows = rows.select("doc_id", F.explode_outer(terms).alias("term"))
+        return rows.where(F.col("term").isNotNull()), True
     in_row = stopwords is None or not isinstance(stopwords, DataFrame) and len(stopwords) <= LITERAL_WORDS
     if in_row:
         # In the row: drop the stopwords by a set that is built once, and repeats, stem, and drop
@@ -48,14 +56,16 @@ def document_terms(
     one_row_per_document: bool = False,
     doc_id: str = "doc_id",
     text: str = "text",
+    small_stopwords: bool = False,
 ) -> DataFrame:
     """``(doc_id, term)``, each term once per document.
 
     ``one_row_per_document`` states that no document id repeats. Then the rows of ``docs`` are
     the documents, repeats are dropped inside the row and nothing is shuffled. Stopwords given
-    as a DataFrame are joined before stemming, and stems are made distinct by a shuffle.
+    as a DataFrame are joined before stemming, and stems are made distinct by a shuffle, unless
+    ``small_stopwords`` says that the list is short: then it is one value that rows are tested against.
     """
-    terms, distinct = _document_terms(docs, stopwords, tokenizer, stemmed, doc_id, text)
+    terms, distinct = _document_terms(docs, stopwords, tokenizer, stemmed, doc_id, text, small_stopwords)
     return terms if one_row_per_document and distinct else terms.dropDuplicates(["doc_id", "term"])
 
 

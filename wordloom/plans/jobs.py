@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from wordloom import operators as op
 from wordloom import plans, sinks, sources
 from wordloom.operators.frequency import DEFAULT_DOCUMENTS
+from wordloom.plans.counters import Counters
 
 
 def top_words(spark: SparkSession, corpus, out: str, stopwords, k: int = 50) -> None:
@@ -73,12 +75,14 @@ def all_word_stripes(
     out: str,
     stopwords,
     distance: int,
-    parts: int = 1,
+    *,
+    parts: int,
     ordered: bool = False,
 ) -> None:
     """``word<TAB>{neighbor=count, ...}`` of every word that is no stopword.
 
-    With more than one part, ``word<TAB>part<TAB>{neighbor=count, ...}``.
+    With more than one part, ``word<TAB>part<TAB>{neighbor=count, ...}``. Take the number of distinct words /
+    100,000: in a single part, the stripe of a frequent word grows with the vocabulary.
     """
     found = op.all_word_stripes(
         sources.read_lines(spark, corpus),
@@ -97,14 +101,28 @@ def document_frequency(
     stopwords,
     max_line_bytes: int | None = None,
     ordered: bool = False,
-) -> None:
-    """``term<TAB>documents`` of every stemmed term."""
-    table = op.document_frequency(
-        sources.read_document_lines(spark, corpus, max_line_bytes),
-        sources.read_stopwords(spark, stopwords),
-        text="line",
-    )
-    sinks.write_tsv(table, out, order_by="term" if ordered else None)
+) -> dict[str, int]:
+    """``term<TAB>documents`` of every stemmed term.
+
+    Returns the numbers of documents, of (term, document) pairs and of terms, counted on the way.
+    """
+    stop = sources.read_stopwords(spark, stopwords)
+    counters = Counters()
+    whole, lines = sources.read_documents(spark, corpus, max_line_bytes)
+    whole = counters.watch(whole, "documents")
+    terms = op.document_terms(whole, stop, one_row_per_document=True, small_stopwords=True)
+    terms = terms.unionByName(op.document_terms(lines, stop, text="line"))
+    table = counters.watch(terms, "term_document_pairs").groupBy("term").agg(F.count("*").alias("df"))
+    table = counters.watch(table.orderBy("term") if ordered else table, "terms")
+    sinks.write_tsv(table, out)
+    return _with_others(counters, spark, corpus)
+
+
+def _with_others(counters: Counters, spark: SparkSession, corpus) -> dict[str, int]:
+    """The counters, with the documents that are read line by line; only the files' listing is read."""
+    found = counters.values()
+    found["documents"] += sources.split_documents(sources.list_documents(spark, corpus)).count()
+    return found
 
 
 def top_terms(spark: SparkSession, df_table, out: str, k: int = 100) -> None:
@@ -120,15 +138,18 @@ def tf_idf(
     n_documents: int = DEFAULT_DOCUMENTS,
     max_line_bytes: int | None = None,
     ordered: bool = False,
-) -> None:
-    """``document<TAB>term<TAB>score`` for the terms of a document-frequency table."""
-    scores = op.tf_idf(
-        sources.read_document_lines(spark, corpus, max_line_bytes, clean_ids=True),
-        sources.read_checked_df_table(spark, df_table),
-        n_documents,
-        text="line",
-    )
-    sinks.write_scores(scores, out, ordered=ordered)
+) -> dict[str, int]:
+    """``document<TAB>term<TAB>score`` for the terms of a document-frequency table.
+
+    Returns the numbers of documents and of score rows, counted on the way.
+    """
+    counters = Counters()
+    whole, lines = sources.read_documents(spark, corpus, max_line_bytes, clean_ids=True)
+    docs = counters.watch(whole, "documents").unionByName(lines.withColumnRenamed("line", "text"))
+    scores = op.tf_idf(docs, sources.read_checked_df_table(spark, df_table), n_documents)
+    scores = counters.watch(scores.orderBy("doc_id", "term") if ordered else scores, "score_rows")
+    sinks.write_scores(scores, out)
+    return _with_others(counters, spark, corpus)
 
 
 def frequent_term_scores(

@@ -6,7 +6,16 @@ by a join on positions, stems by one common table expression per rule group.
 
 from __future__ import annotations
 
-from wordloom.plans.queries import LONG_LINE, MANY_PARTS, PARTS, TABLE_STOPWORDS
+from wordloom.plans.queries import (
+    LONG_LINE,
+    MANY_PARTS,
+    PARTS,
+    RARE,
+    RARE_DISTANCE,
+    TABLE_STOPWORDS,
+    WIDE_DISTANCE,
+    WIDE_DISTANCE_ALL,
+)
 from wordloom.sources import SHORT_STOPWORDS
 
 STOP = "stop(word) AS (VALUES " + ", ".join(f"('{w}')" for w in SHORT_STOPWORDS) + ")"
@@ -289,7 +298,33 @@ LINE_SIZES = """
 
 TRIM = r"'^[\x00-\x20]+|[\x00-\x20]+$', '', 'g'"
 
+RARE_WORDS = f"""
+        SELECT word FROM ({tokens("alnum", "conversations", "conv_id")}) GROUP BY word HAVING count(*) <= {RARE}"""
+
 ORACLE = {
+    "cooc_pairs_blocks": f"""{vocabulary_hits(2)}
+        SELECT least(w, n) AS a, greatest(w, n) AS b, count(*) AS cnt FROM ahead GROUP BY 1, 2""",
+    "cooc_pairs_wide": pairs(WIDE_DISTANCE),
+    "cooc_words_wide": f"""WITH {hits(f"SELECT * FROM ({positions('alnum')}) WHERE word <> ''", WIDE_DISTANCE_ALL)}
+        SELECT word, count(DISTINCT neighbor) AS neighbors, count(*) AS cnt FROM hits GROUP BY word""",
+    "cooc_pairs_rare": f"""WITH vocab AS ({RARE_WORDS}),
+        {hits(f"SELECT * FROM ({positions('alnum')}) WHERE word IN (SELECT word FROM vocab)", RARE_DISTANCE)}
+        SELECT word, neighbor, count(*) AS cnt FROM hits GROUP BY word, neighbor""",
+    "stopword_filter_large": f"""
+        SELECT word, count(*) AS cnt FROM ({tokens("alnum")})
+        WHERE word NOT IN ({RARE_WORDS}) GROUP BY word""",
+    "vocab_filter_large": f"""
+        SELECT id AS doc_id, count(*) AS cnt, count(DISTINCT word) AS words
+        FROM ({tokens("alnum")}) WHERE word IN ({RARE_WORDS}) GROUP BY id""",
+    "doc_freq_dictionary": f"WITH {document_frequency()} SELECT term, df FROM df",
+    "doc_freq_listed_in_row": f"""WITH {document_frequency(stop=TABLE_STOP)}
+        SELECT term, df FROM df""",
+    "term_freq_dictionary": f"""WITH {term_frequency()}
+        SELECT doc_id, term, tf FROM tf WHERE term IN (SELECT term FROM top100)""",
+    "stripes_merge_stored": MERGED_STRIPES,
+    "clustered_lookup": f"""WITH {STOP}
+        SELECT word, count(*) AS cnt FROM ({tokens("nonword")})
+        WHERE word IN (SELECT word FROM stop) GROUP BY word""",
     "top_words": f"WITH {STOP} {TOP_50}",
     "word_count": f"WITH {STOP} {WORD_COUNT}",
     **{

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from wordloom import operators as op
 from wordloom import plans, sinks, sources
 from wordloom.functions import clean_document_id, pair_text, stripe_text
+from wordloom.operators.lists import short_list
+from wordloom.sinks.scratch import scratch_path
 from wordloom.sources import SHORT_STOPWORDS
 
 # Size limit of a line, in bytes with its terminator, in the query on over-long lines.
@@ -17,6 +19,15 @@ PARTS = 4
 MANY_PARTS = 16
 # Stopwords that are taken from a table.
 TABLE_STOPWORDS = 200
+# Distances of wide windows, over listed words and over all.
+WIDE_DISTANCE = 200
+WIDE_DISTANCE_ALL = 40
+# Most occurrences of a word in the conversations that makes it a rare one, and the windows of rare words.
+RARE = 3
+RARE_DISTANCE = 4
+# Buckets of a stored matrix, and files of a clustered table.
+BUCKETS = 8
+CLUSTERED_FILES = 16
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -237,7 +248,87 @@ def stopword_parse(spark, sf):
     return sources.parse_stopwords(rows.select(F.concat(F.lit("\t "), "line", F.lit(" \t")).alias("line")))
 
 
+def cooc_pairs_blocks(spark, sf):
+    """Unordered pairs of the frequent words, by the plan for wide windows at a short distance."""
+    docs = documents(spark, sf)
+    vocabulary = plans.frequent_words(docs, 50, SHORT_STOPWORDS)
+    return op.band_counts(docs, 2, [short_list(vocabulary)])
+
+
+def cooc_words_wide(spark, sf):
+    """Of each word, its distinct neighbors and its pairs with them, over the whole matrix of all words."""
+    pairs = op.cooccurrence_pairs(documents(spark, sf), WIDE_DISTANCE_ALL)
+    return pairs.groupBy("word").agg(F.count("*").alias("neighbors"), F.sum("cnt").alias("cnt"))
+
+
+def rare_words(spark, sf):
+    return op.token_counts(turns(spark, sf), "alnum").where(F.col("cnt") <= RARE).select("word")
+
+
+def cooc_pairs_rare(spark, sf):
+    """Pairs over a vocabulary of unknown size: a filter on the tokens, then the exact join."""
+    return op.cooccurrence_pairs(documents(spark, sf), RARE_DISTANCE, rare_words(spark, sf))
+
+
+def stopword_filter_large(spark, sf):
+    kept = op.drop_words_by_filter(op.tokens(documents(spark, sf), "alnum"), rare_words(spark, sf))
+    return kept.groupBy("word").agg(F.count("*").alias("cnt"))
+
+
+def vocab_filter_large(spark, sf):
+    rows = op.tokens(documents(spark, sf), "alnum", keep=["doc_id"])
+    kept = op.keep_words_by_filter(rows, rare_words(spark, sf))
+    return kept.groupBy("doc_id").agg(F.count("*").alias("cnt"), F.count_distinct("word").alias("words"))
+
+
+def doc_freq_dictionary(spark, sf):
+    return op.document_frequency_by_dictionary(documents(spark, sf), SHORT_STOPWORDS)
+
+
+def doc_freq_listed_in_row(spark, sf):
+    """Document frequency without the most frequent words of the conversations, tested inside the row."""
+    stopwords = plans.frequent_words(turns(spark, sf), TABLE_STOPWORDS).select("word")
+    terms = op.document_terms(documents(spark, sf), stopwords, one_row_per_document=True, small_stopwords=True)
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
+
+
+def term_freq_dictionary(spark, sf):
+    return op.term_frequency_by_dictionary(documents(spark, sf), doc_freq_top100(spark, sf))
+
+
+def stripes_merge_stored(spark, sf):
+    """The conversations' stripes merged into the stored ones of the documents."""
+    path = scratch_path(spark, "matrix")
+    table = "matrix_" + path[-32:]
+    first = op.all_word_stripes(documents(spark, sf), 1, SHORT_STOPWORDS, parts=PARTS)
+    op.save_stripes(first, table, BUCKETS, path)
+    second = op.all_word_stripes(turns(spark, sf), 1, SHORT_STOPWORDS, parts=PARTS)
+    merged = op.merge_into_stored(spark.table(table), second)
+    return merged.select("word", "part", stripe_text("entries").alias("stripe"))
+
+
+def clustered_lookup(spark, sf):
+    """Counts of some words, looked up in a table of all words laid out by word."""
+    path = scratch_path(spark, "words")
+    sinks.write_clustered(op.token_counts(documents(spark, sf), "nonword"), path, "word", CLUSTERED_FILES)
+    return sinks.lookup(spark, path, "word", SHORT_STOPWORDS)
+
+
+# Queries that write a table before they read it.
+WRITING = ("stripes_merge_stored", "clustered_lookup")
+
 QUERIES = {
+    "cooc_pairs_blocks": cooc_pairs_blocks,
+    "cooc_pairs_wide": pairs_query(WIDE_DISTANCE),
+    "cooc_words_wide": cooc_words_wide,
+    "cooc_pairs_rare": cooc_pairs_rare,
+    "stopword_filter_large": stopword_filter_large,
+    "vocab_filter_large": vocab_filter_large,
+    "doc_freq_dictionary": doc_freq_dictionary,
+    "doc_freq_listed_in_row": doc_freq_listed_in_row,
+    "term_freq_dictionary": term_freq_dictionary,
+    "stripes_merge_stored": stripes_merge_stored,
+    "clustered_lookup": clustered_lookup,
     "top_words": top_words,
     "word_count": word_count,
     "tokens_trim_punct": token_query("trim_punct"),

@@ -6,6 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.formats import pair_text, score_text, stripe_text
+from wordloom.sinks.clustered import files_of, lookup, write_clustered
+
+__all__ = [
+    "count_lines",
+    "files_of",
+    "lookup",
+    "pair_lines",
+    "score_lines",
+    "stripe_lines",
+    "tsv_lines",
+    "write_clustered",
+    "write_pairs",
+    "write_scores",
+    "write_stripes",
+    "write_tsv",
+]
 
 
 def tsv_lines(df: DataFrame, *fields: Column) -> DataFrame:

@@ -1,6 +1,7 @@
 """Readers for text corpora, word lists and document-frequency tables."""
 
 from wordloom.sources.dftable import parse_df_table, read_checked_df_table, read_df_table
+from wordloom.sources.files import list_documents, read_documents, split_documents
 from wordloom.sources.lines import (
     document_lines,
     drop_long_lines,
@@ -25,6 +26,7 @@ __all__ = [
     "are_few",
     "document_lines",
     "drop_long_lines",
+    "list_documents",
     "parse_df_table",
     "parse_stopwords",
     "parse_vocabulary",
@@ -32,10 +34,12 @@ __all__ = [
     "read_checked_vocabulary",
     "read_df_table",
     "read_document_lines",
+    "read_documents",
     "read_lines",
     "read_stopwords",
     "read_table",
     "read_vocabulary",
     "require_words",
+    "split_documents",
     "word_set",
 ]
