@@ -57,7 +57,10 @@ BENCH = {
     "stripes_vocabulary_sweep_d1_to_d4": q.cooc_stripes_sweep,
     **{f"stripes_all_words_d{d}": all_word_stripes(d) for d in (1, 2, 3, 4)},
     "stripes_all_words_sweep_d1_to_d4": all_word_stripes_sweep,
+    f"pairs_d{q.WIDE_DISTANCE}": q.pairs_query(q.WIDE_DISTANCE),
+    "pairs_rare_words_d4": q.cooc_pairs_rare,
     "doc_freq": q.doc_freq,
+    "doc_freq_dictionary": q.doc_freq_dictionary,
     "doc_freq_stopword_table": q.doc_freq_stopword_table,
     "tfidf": q.tfidf,
 }
