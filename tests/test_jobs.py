@@ -59,6 +59,21 @@ def test_words_then_cooccurrence(run, corpus):
     assert york == {"city=3", "new=1"}
 
 
+def test_lists_of_any_length(run, corpus, monkeypatch):
+    """A list that is not short is joined behind a filter; the files are the same."""
+    run("top-words", "corpus words stop.txt", "--k", "3")
+    expected = {}
+    for few in (100_000, 0):
+        monkeypatch.setattr("wordloom.plans.FEW_WORDS", few)
+        for d in ("2", "30"):
+            run("pairs", f"corpus pairs{few}-{d} words", d, "--ordered")
+            run("stripes", f"corpus stripes{few}-{d} words stop.txt", d, "--ordered")
+            found = lines(corpus, f"pairs{few}-{d}"), lines(corpus, f"stripes{few}-{d}")
+            assert found == expected.setdefault(d, found) and all(found)
+        run("document-frequency", f"corpus df{few} stop.txt", "--ordered")
+        assert lines(corpus, f"df{few}") == expected.setdefault("df", lines(corpus, f"df{few}"))
+
+
 def test_document_frequency_then_scores(run, corpus):
     run("document-frequency", "corpus df stop.txt", "--ordered")
     assert lines(corpus, "df") == ["citi\t1", "dai\t1", "hous\t2", "new\t1", "york\t2"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom import operators as op
@@ -19,16 +19,18 @@ def top_words(spark: SparkSession, corpus, out: str, stopwords, k: int = 50) ->
     sinks.write_tsv(op.top_words(counts, k), out)
 
 
+def _are_few(*lists: DataFrame) -> bool:
+    """Whether word lists are short enough to be tested inside rows; they are counted."""
+    return all(plans.is_few(words.count()) for words in lists)
+
+
 def pairs(
     spark: SparkSession, corpus, out: str, vocabulary, distance: int, ordered: bool = False
 ) -> None:
     """``(word,neighbor)<TAB>count`` over a vocabulary."""
+    words = sources.read_checked_vocabulary(spark, vocabulary)
     found = op.cooccurrence_pairs(
-        sources.read_lines(spark, corpus),
-        distance,
-        sources.read_checked_vocabulary(spark, vocabulary),
-        text="line",
-        small_lists=True,
+        sources.read_lines(spark, corpus), distance, words, text="line", small_lists=_are_few(words)
     )
     sinks.write_pairs(found, out, ordered=ordered)
 
@@ -58,13 +60,9 @@ def stripes(
     ordered: bool = False,
 ) -> None:
     """``word<TAB>{neighbor=count, ...}`` over a vocabulary without its stopwords."""
+    words, stop = sources.read_checked_vocabulary(spark, vocabulary), sources.read_stopwords(spark, stopwords)
     found = op.vocabulary_stripes(
-        sources.read_lines(spark, corpus),
-        distance,
-        sources.read_checked_vocabulary(spark, vocabulary),
-        sources.read_stopwords(spark, stopwords),
-        text="line",
-        small_lists=True,
+        sources.read_lines(spark, corpus), distance, words, stop, text="line", small_lists=_are_few(words, stop)
     )
     sinks.write_stripes(found, out, ordered=ordered)
 
@@ -110,7 +108,7 @@ def document_frequency(
     counters = Counters()
     whole, lines = sources.read_documents(spark, corpus, max_line_bytes)
     whole = counters.watch(whole, "documents")
-    terms = op.document_terms(whole, stop, one_row_per_document=True, small_stopwords=True)
+    terms = op.document_terms(whole, stop, one_row_per_document=True, small_stopwords=_are_few(stop))
     terms = terms.unionByName(op.document_terms(lines, stop, text="line"))
     table = counters.watch(terms, "term_document_pairs").groupBy("term").agg(F.count("*").alias("df"))
     table = counters.watch(table.orderBy("term") if ordered else table, "terms")
