@@ -181,6 +181,20 @@ def test_small_chunks_change_no_result(documents, monkeypatch):
     assert cut(documents(texts), length=60, seed=20) == removed(texts, 60)
 
 
+@pytest.mark.parametrize("rows", [1, 40, 1 << 18])
+def test_a_hot_group_of_borders(documents, monkeypatch, rows):
+    """A passage of all documents with neighbours that differ, repeat or shift: held by distinct windows."""
+    monkeypatch.setattr(suffix_dedup, "SORT_ROWS", rows)
+    rng = random.Random(12)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(170))
+    tails = ["".join(rng.choice("xyz ") for _ in range(60)) for _ in range(6)]
+    texts = []
+    for i in range(90):
+        head = "".join(rng.choice("uvw ") for _ in range(rng.randrange(80)))
+        texts.append(head + passage[rng.randrange(3) :] + rng.choice(tails)[rng.randrange(2) :] + str(i % 7))
+    assert cut(documents(texts)) == removed(texts)
+
+
 def test_remaining_bytes_and_ids(documents):
     passage = "x1 " * 60
     texts = ["head " + passage, passage + "tail", passage]

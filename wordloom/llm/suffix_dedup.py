@@ -40,7 +40,7 @@ SEED = 30
 BLOCK = 16
 #: Anchors that a task gathers before it drops its own repeats.
 GATHER = 1 << 20
-#: Suffixes that are sorted at once, unless one group has more.
+#: Suffixes that are sorted at once. Of a group with more, the first of equal ones are held.
 SORT_ROWS = 1 << 18
 
 _POSITION = U64((1 << 24) - 1)
@@ -355,7 +355,8 @@ def _pieces_of_rows(row: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int,
 def _sort_pieces(length: int):
     """Pieces sorted by (route, doc_id, first) to ranges of repeated windows."""
 
-    def solve(block: pa.Table, poly: Poly) -> pa.RecordBatch:
+    def solve(block: pa.Table, poly: Poly) -> tuple[pa.RecordBatch, pa.Table]:
+        """The repeated windows' ranges, and the pieces with a window that is the first of its kind."""
         sent = np.asarray(block.column("bytes").is_null())  # its task has sent the same piece
         gone = [block.column(c).to_numpy()[sent].astype(np.int64) for c in ("doc_id", "first", "count")]
         block = block.filter(pa.array(~sent)).combine_chunks()
@@ -381,31 +382,35 @@ def _sort_pieces(length: int):
         start = np.append(first[piece[again]] + step[again], gone[1])
         end = np.append(first[piece[again]] + step[again], gone[1] + gone[2] - 1) + length
         found = _unite(np.append(doc[piece[again]], gone[0]), start, end)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in found], names=["doc_id", "start", "end"]
-        )
+        ranges = pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["doc_id", "start", "end"])
+        fresh = np.bincount(piece[again], minlength=len(count)) < count
+        return ranges, block.filter(pa.array(fresh))
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         poly = Poly(85)
         held: list[pa.RecordBatch] = []
-        rows = 0
+        rows, limit = 0, SORT_ROWS
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
             rows += int(np.asarray(batch.column("count")).sum())
-            if rows < SORT_ROWS:
+            if rows < limit:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             route = table.column("route").to_numpy()
             cut = int(np.searchsorted(route, route[-1]))  # the last group may go on
             if cut:
-                yield solve(table.slice(0, cut), poly)
+                yield solve(table.slice(0, cut), poly)[0]
                 table = table.slice(cut)
+            else:  # one group: later pieces meet the first of each window only
+                found, table = solve(table, poly)
+                yield found
             held = table.to_batches()
-            rows = int(table.column("count").to_numpy().sum())
+            rows = int(table.column("count").to_numpy().sum()) if table.num_rows else 0
+            limit = max(SORT_ROWS, 2 * rows)
         if held:
-            yield solve(pa.Table.from_batches(held).combine_chunks(), poly)
+            yield solve(pa.Table.from_batches(held).combine_chunks(), poly)[0]
 
     return sort
 
