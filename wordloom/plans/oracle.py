@@ -293,6 +293,12 @@ SCORES = f"""WITH {term_frequency()},
             SELECT doc_id, term, round(tf * ln(10000.0 / df + 1.0), 6) AS score
             FROM tf JOIN top100 USING (term))"""
 
+COUNTERS = f"""{SCORES}
+        SELECT 'documents' AS counter, count(*) AS value FROM documents
+        UNION ALL SELECT 'terms', count(*) FROM df
+        UNION ALL SELECT 'term_document_pairs', sum(df)::BIGINT FROM df
+        UNION ALL SELECT 'score_rows', count(*) FROM scores"""
+
 LINE_SIZES = """
         SELECT doc_id, count(*) AS lines, sum(octet_length(encode(line)))::BIGINT AS bytes"""
 
@@ -322,6 +328,7 @@ ORACLE = {
     "term_freq_dictionary": f"""WITH {term_frequency()}
         SELECT doc_id, term, tf FROM tf WHERE term IN (SELECT term FROM top100)""",
     "stripes_merge_stored": MERGED_STRIPES,
+    "counters_observed": COUNTERS,
     "clustered_lookup": f"""WITH {STOP}
         SELECT word, count(*) AS cnt FROM ({tokens("nonword")})
         WHERE word IN (SELECT word FROM stop) GROUP BY word""",
@@ -388,11 +395,7 @@ ORACLE = {
     "tfidf_unknown_terms": f"""WITH {term_frequency()}
         SELECT doc_id, term, round(tf * ln(10000.0 / coalesce(df, 1) + 1.0), 6) AS score
         FROM tf LEFT JOIN top100 USING (term)""",
-    "corpus_counters": f"""{SCORES}
-        SELECT 'documents' AS counter, count(*) AS value FROM documents
-        UNION ALL SELECT 'terms', count(*) FROM df
-        UNION ALL SELECT 'term_document_pairs', sum(df)::BIGINT FROM df
-        UNION ALL SELECT 'score_rows', count(*) FROM scores""",
+    "corpus_counters": COUNTERS,
     "df_table_parse": """
         SELECT p_name || ' ' || p_partkey AS term, p_size::BIGINT AS df FROM part""",
     "wordlist_parse": rf"""

@@ -9,6 +9,7 @@ from wordloom import operators as op
 from wordloom import plans, sinks, sources
 from wordloom.functions import clean_document_id, pair_text, stripe_text
 from wordloom.operators.lists import short_list
+from wordloom.plans.counters import Counters
 from wordloom.sinks.scratch import scratch_path
 from wordloom.sources import SHORT_STOPWORDS
 
@@ -314,8 +315,21 @@ def clustered_lookup(spark, sf):
     return sinks.lookup(spark, path, "word", SHORT_STOPWORDS)
 
 
+def counters_observed(spark, sf):
+    """Counters of the runs that write document frequencies and scores, by observed metrics."""
+    counters = Counters()
+    docs = counters.watch(documents(spark, sf), "documents")
+    terms = op.document_terms(docs, SHORT_STOPWORDS, one_row_per_document=True)
+    table = counters.watch(terms, "term_document_pairs").groupBy("term").agg(F.count("*").alias("df"))
+    path = scratch_path(spark, "df")
+    counters.watch(table, "terms").write.parquet(path)
+    scores = op.tf_idf(documents(spark, sf), op.top_terms(spark.read.parquet(path), 100), small_table=True)
+    counters.watch(scores, "score_rows").write.parquet(scratch_path(spark, "scores"))
+    return spark.createDataFrame(sorted(counters.values().items()), "counter string, value bigint")
+
+
 # Queries that write a table before they read it.
-WRITING = ("stripes_merge_stored", "clustered_lookup")
+WRITING = ("stripes_merge_stored", "clustered_lookup", "counters_observed")
 
 QUERIES = {
     "cooc_pairs_blocks": cooc_pairs_blocks,
@@ -329,6 +343,7 @@ QUERIES = {
     "term_freq_dictionary": term_freq_dictionary,
     "stripes_merge_stored": stripes_merge_stored,
     "clustered_lookup": clustered_lookup,
+    "counters_observed": counters_observed,
     "top_words": top_words,
     "word_count": word_count,
     "tokens_trim_punct": token_query("trim_punct"),
