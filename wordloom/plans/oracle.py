@@ -329,6 +329,10 @@ ORACLE = {
         SELECT doc_id, term, tf FROM tf WHERE term IN (SELECT term FROM top100)""",
     "stripes_merge_stored": MERGED_STRIPES,
     "counters_observed": COUNTERS,
+    "file_lines": f"""
+        SELECT lines, count(*) AS files
+        FROM (SELECT doc_id, count(*) AS lines FROM ({LINES}) GROUP BY doc_id) GROUP BY lines""",
+    "doc_freq_files": f"WITH {document_frequency()} SELECT term, df FROM df",
     "clustered_lookup": f"""WITH {STOP}
         SELECT word, count(*) AS cnt FROM ({tokens("nonword")})
         WHERE word IN (SELECT word FROM stop) GROUP BY word""",

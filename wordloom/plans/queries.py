@@ -328,8 +328,31 @@ def counters_observed(spark, sf):
     return spark.createDataFrame(sorted(counters.values().items()), "counter string, value bigint")
 
 
-# Queries that write a table before they read it.
-WRITING = ("stripes_merge_stored", "clustered_lookup", "counters_observed")
+def _as_files(spark, sf) -> str:
+    """The documents as text files, one each."""
+    path = scratch_path(spark, "corpus")
+    docs = documents(spark, sf).select(F.coalesce("text", F.lit("")).alias("value"))
+    docs.write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def file_lines(spark, sf):
+    """How many files have how many lines."""
+    rows = sources.read_document_lines(spark, _as_files(spark, sf))
+    files = rows.groupBy("doc_id").agg(F.count("*").alias("lines"))
+    return files.groupBy("lines").agg(F.count("*").alias("files"))
+
+
+def doc_freq_files(spark, sf):
+    """Document frequency of files: in the row where a file is one, by lines beyond."""
+    whole, rest = sources.read_documents(spark, _as_files(spark, sf))
+    terms = op.document_terms(whole, SHORT_STOPWORDS, one_row_per_document=True)
+    terms = terms.unionByName(op.document_terms(rest, SHORT_STOPWORDS, text="line"))
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
+
+
+# Queries that write a table or files before they read them.
+WRITING = ("stripes_merge_stored", "clustered_lookup", "counters_observed", "file_lines", "doc_freq_files")
 
 QUERIES = {
     "cooc_pairs_blocks": cooc_pairs_blocks,
@@ -344,6 +367,8 @@ QUERIES = {
     "stripes_merge_stored": stripes_merge_stored,
     "clustered_lookup": clustered_lookup,
     "counters_observed": counters_observed,
+    "file_lines": file_lines,
+    "doc_freq_files": doc_freq_files,
     "top_words": top_words,
     "word_count": word_count,
     "tokens_trim_punct": token_query("trim_punct"),
