@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registry():
     names = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if re.fullmatch(rf"op{n}_\w+", q)]) == 1
     assert "pipeline" in names and queries.ORACLE.keys() <= queries.QUERIES.keys()
 
