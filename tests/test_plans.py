@@ -50,7 +50,8 @@ def docs(spark):
 def test_jvm_only_and_no_nested_loops(spark, name):
     before = jobs_so_far(spark)
     df = QUERIES[name](spark, FOLDER)
-    assert jobs_so_far(spark) == before, "a job ran while the plan was built"
+    # the tracker forgets old jobs, so that only new ones count
+    assert not jobs_so_far(spark) - before, "a job ran while the plan was built"
     text = plan(df)
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
     assert "MapInArrow" not in text
