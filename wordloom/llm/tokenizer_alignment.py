@@ -48,11 +48,22 @@ LINE_BYTES = 2_000
 
 BLOCKS = (
     "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "groups array<string>, unit_at array<int>, units array<int>, same_at array<int>, same array<int>, "
-    "pair_at array<int>, pairs array<int>, pair array<long>, n array<long>"
+    "groups array<string>, unit_n binary, units binary, same_n binary, same binary, pair_n binary, pairs binary, "
+    "pair array<long>, n array<long>"
 )
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers from 0 on in as few bytes each as the largest takes, behind a byte that says how many."""
+    top = int(values.max(initial=0))
+    size = next(n for n in (1, 2, 4, 8) if top < 1 << 8 * n)
+    return bytes([size]) + values.astype(f"<u{size}").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 def _byte_chars() -> dict[str, int]:
     """The published byte-level alphabet: printable bytes stand for themselves, others from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -339,19 +350,19 @@ class Aligner:
             "n_groups": n_groups,
             "n_links": n_a + n_b - n_groups,  # a chain of m and n tokens has m + n - 1 links
             "groups": hashes,
-            "unit_at": bounds,
-            "units": inside,
-            "same_at": _spans(same_n),
-            "same": same,
-            "pair_at": _spans(pair_n),
-            "pairs": place,
+            "unit_n": _packed(np.diff(bounds)),
+            "units": _packed(inside),
+            "same_n": _packed(same_n),
+            "same": _packed(same),
+            "pair_n": _packed(pair_n),
+            "pairs": _packed(place),
             "pair": pair,
             "n": weight.astype(np.int64),
         }
 
 
 def _schema() -> pa.Schema:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
     fields = []
     for item in BLOCKS.split(", "):
         name, kind = item.split(" ")
@@ -406,24 +417,23 @@ def _scorer(plain):
             for i in range(batch.num_rows):
 
                 def values(name: str) -> np.ndarray:
-                    cell = batch.column(name)[i]
-                    return cell.values.to_numpy() if cell.is_valid else np.zeros(0, np.int64)
+                    return _unpacked(batch.column(name)[i].as_py())
 
-                def sums(at: np.ndarray, items: np.ndarray) -> np.ndarray:
-                    total = _spans(items)
+                def sums(counts: np.ndarray, items: np.ndarray) -> np.ndarray:
+                    total, at = _spans(items), _spans(counts)
                     return total[at[1:]] - total[at[:-1]]
 
-                unit_at, units = values("unit_at"), values("units")
-                same_at, same = values("same_at"), values("same")
-                pair_at, pairs = values("pair_at"), values("pairs")
+                unit_n, units = values("unit_n"), values("units")
+                same_n, same = values("same_n"), values("same")
+                pair_n, pairs = values("pair_n"), values("pairs")
                 scores = batch.column("scores")[i]
                 found = scores.values if scores.is_valid else None
                 count = found.field("count").to_numpy() if found is not None else np.zeros(0, np.int64)
                 best = found.field("best").to_numpy(zero_copy_only=False).astype(np.int64) if found is not None else count
 
                 def per_document(of_same: np.ndarray, of_pair: np.ndarray) -> np.ndarray:
-                    of_unit = sums(same_at, of_same[same]) + sums(pair_at, of_pair[pairs])
-                    return sums(unit_at, of_unit[units])
+                    of_unit = sums(same_n, of_same[same]) + sums(pair_n, of_pair[pairs])
+                    return sums(unit_n, of_unit[units])
 
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -518,7 +528,7 @@ def scored_documents(blocks: DataFrame, a_path: str = A_PATH) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("k", "count", "best"))).alias("scores"))
     )
     rows = own.select(
-        "block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "unit_at", "units", "same_at", "same", "pair_at", "pairs"
+        "block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "unit_n", "units", "same_n", "same", "pair_n", "pairs"
     ).join(scores, "block", "left")
     return rows.mapInArrow(
         _scorer(shipped),
