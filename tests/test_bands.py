@@ -41,13 +41,13 @@ def docs(spark, lines):
     return spark.createDataFrame([(line,) for line in lines] + [(None,)], "text string")
 
 
-@pytest.mark.parametrize("d", [1, 2, 3, 4, 5, 24, 33, 100, 1000])
+@pytest.mark.parametrize("d", [1, 4, 33, 1000])
 def test_blocks_against_brute_force(docs, lines, d):
     mirrored = cooccurrence._mirrored(bands.band_counts(docs, d), ["cnt"])
     assert counts(mirrored) == brute(lines, d)
 
 
-@pytest.mark.parametrize("d", [2, 23, 24, 200])
+@pytest.mark.parametrize("d", [2, 24])
 def test_every_plan_gives_the_same_rows(spark, docs, lines, d):
     listed = ["w1", "w2", "w250", "", "W3"]
     vocabulary = spark.createDataFrame([(w, 1) for w in listed] + [("w1", 2), (None, 3)], "word string, cnt int")

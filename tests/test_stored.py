@@ -30,8 +30,7 @@ def docs(spark):
     return spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
 
 
-@pytest.mark.parametrize("slices", [1, 16])
-@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("slices, broadcast", [(1, True), (16, False)])
 def test_dictionary(spark, docs, rows, slices, broadcast):
     stop = spark.createDataFrame([("the",), ("of",)], "word string")
     if not broadcast:
