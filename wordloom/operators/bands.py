@@ -23,8 +23,9 @@ from wordloom.operators.lists import Listed, let
 
 #: From this distance on, windows are counted in blocks.
 WIDE = 24
-#: Blocks that a window spans.
+#: Blocks that a window spans, and the fewest positions of a block of listed words.
 BLOCKS = 4
+LISTED = 32
 
 
 def _numbered(words: Column) -> Column:
@@ -69,7 +70,8 @@ def _boxes(window: Column, s: int, d: int, with_words: bool) -> Column:
         return F.struct(own.alias("l"), rim.alias("r"))
 
     def from_words(own: Column) -> Column:
-        middle = _numbered(_present(F.slice(window, s + 1, d - s + 1)))
+        seen_by_all = F.slice(window, s + 1, d - s + 1) if s <= d else F.slice(window, 1, 0)
+        middle = _numbered(_present(seen_by_all))
         found = [F.struct(own.alias("l"), middle.alias("r"))]
         if with_words:
             alone = F.array(_entry(F.lit(None).cast("string"), F.lit(1), F.lit(-1)))
@@ -120,7 +122,7 @@ def band_counts(
     counts in a row with a NULL ``b``. There is no shuffle but that of the partial counts.
     """
     d = distance
-    s = max(1, -(-d // BLOCKS))
+    s = max(LISTED if keep else 1, -(-d // BLOCKS))
     if scope == "line":
         texts = texts.select(F.explode_outer(line_array(text)).alias("span"))
     elif scope == "document":

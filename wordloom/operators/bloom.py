@@ -25,7 +25,7 @@ def _bits(word: Column, slots: int, hashes: int) -> list[Column]:
     """Positions of a word's bits, by the two halves of one hash."""
     h = F.xxhash64(word)
     first, step = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
-    return [F.pmod(first + step * i, F.lit(slots * 64)) for i in range(hashes)]
+    return [F.pmod(first + step * i if i else first, F.lit(slots * 64)) for i in range(hashes)]
 
 
 def bloom_filter(words: DataFrame, column: str = "word", slots: int = SLOTS, hashes: int = HASHES) -> DataFrame:
