@@ -183,3 +183,34 @@ def test_ordered_files_follow_each_other(spark, tmp_path, texts):
     files = sorted(p for p in (tmp_path / "o").iterdir() if p.name.startswith("part-"))
     lines = [line for f in files for line in f.read_text().splitlines()]
     assert lines == [f"w{i:04d}\t1" for i in range(2000)]
+
+
+def test_documents_as_files(spark, tmp_path, texts, rows):
+    docs = texts("a\nb", None, "same", "same", "", "ü\r\nx\n").repartition(4)
+    path = tmp_path / "documents"
+    sinks.write_documents(docs, str(path))
+    files = list(path.glob("folder=*/*.txt"))
+    expected = ["a\nb\n", "\n", "same\n", "same\n", "\n", "ü\r\nx\n\n"]
+    assert sorted(f.read_bytes().decode() for f in files) == sorted(expected)
+    assert len({f.name for f in files}) == len(files)
+    assert not list(path.glob("_*")), "a task moves its folder into place and leaves nothing to commit"
+    lines = sources.read_document_lines(spark, str(path))
+    assert sorted(r[1] for r in rows(lines)) == sorted(["a", "b", "", "same", "same", "", "ü", "x", ""])
+    whole, rest = sources.read_documents(spark, str(path))
+    assert whole.count() == 6 and rest.count() == 0
+
+
+def test_no_documents_as_files(spark, tmp_path, texts):
+    path = str(tmp_path / "none")
+    sinks.write_documents(texts("a").where("false"), path)
+    assert sources.read_document_lines(spark, path).count() == 0
+
+
+def test_documents_where_arrow_has_no_file_system(spark, tmp_path, texts, monkeypatch):
+    def unknown(uri):
+        raise OSError(uri)
+
+    monkeypatch.setattr("wordloom.sinks.documents.fs.FileSystem", type("None", (), {"from_uri": staticmethod(unknown)}))
+    path = str(tmp_path / "plain")
+    sinks.write_documents(texts("a\nb", None), path)
+    assert sorted(r.line for r in sources.read_document_lines(spark, path).collect()) == ["", "a", "b"]

@@ -331,8 +331,7 @@ def counters_observed(spark, sf):
 def _as_files(spark, sf) -> str:
     """The documents as text files, one each."""
     path = scratch_path(spark, "corpus")
-    docs = documents(spark, sf).select(F.coalesce("text", F.lit("")).alias("value"))
-    docs.write.option("maxRecordsPerFile", 1).text(path)
+    sinks.write_documents(documents(spark, sf), path)
     return path
 
 

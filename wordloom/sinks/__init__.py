@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.formats import pair_text, score_text, stripe_text
 from wordloom.sinks.clustered import files_of, lookup, write_clustered
+from wordloom.sinks.documents import write_documents
 
 __all__ = [
     "count_lines",
@@ -17,6 +18,7 @@ __all__ = [
     "stripe_lines",
     "tsv_lines",
     "write_clustered",
+    "write_documents",
     "write_pairs",
     "write_scores",
     "write_stripes",
