@@ -347,3 +347,34 @@ def test_given_pages(spark):
         tidy = (" ".join(html.unescape(re.sub("</?b>", "", re.sub("<br>", " ", b))).split()) for b in blocks)
         expected = " ".join(b for b in tidy if b)
         assert (got[p.page_id].text, got[p.page_id].n_chars, got[p.page_id].url) == (expected, len(expected), p.url)
+
+
+def test_a_class_falls_with_a_token_outside_of_the_template(spark):
+    # one page marks the outer element an advert: it is no token, and what stands in it no part of the template
+    page = '<body><div class="u{0}"><section><div>{1}</div></section></div></body>'
+    rows = [(9, "http://h.org/", '<body><div class="ad">buy</div></body>')]
+    rows += [(i, "http://h.org/", page.format(chr(97 + i) * 3, f"own text {i}")) for i in range(9)]
+    rows += [(i, "http://i.org/", f"<body><span><div><p>text {i}</p></div></span></body>") for i in range(10, 16)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    named = pages.selectExpr("split(url, '/')[2] AS host", "page_id", "html", "cast(array() AS array<string>) AS names")
+    main = {r.host: r.main for r in html_text.templates(named).collect()}
+    assert main == {"h.org": "/body", "i.org": "/body/span/div"}
+    texts = {r.page_id: r.text for r in html_text.extract(pages).collect()}
+    assert texts == {i: f"own text {i}" for i in range(9)} | {9: ""} | {i: f"text {i}" for i in range(10, 16)}
+
+
+def test_classes_fall_with_those_they_stand_in(spark):
+    table = [
+        ("h", "/body", 1),
+        ("h", "/body/div", 2),
+        ("h", "/gone/section", 2),  # of the class of /body/div, inside of nothing
+        ("h", "/body/div/td", 3),
+        ("h", "/body/div/td/div", 4),
+        ("h", "/body/main", 5),
+        ("i", "/body/div", 2),  # another host's class, without its body
+        ("j", "", 1),
+        ("j", "/body", 2),
+    ]
+    frequent = spark.createDataFrame(table, "host string, token string, vector long")
+    left = sorted(r.host + r.token for r in html_text._in_valid_classes(frequent).collect())
+    assert left == ["h/body", "h/body/main", "j", "j/body"]

@@ -285,6 +285,29 @@ def _block_path(path: str) -> str:
     return path
 
 
+def _in_valid_classes(frequent: DataFrame) -> DataFrame:
+    """``frequent`` tokens of valid classes: each token of the class stands at the top or inside a token of a valid class.
+
+    A class falls with any of its tokens, and takes those along that stand inside its tokens. Rounds end when none
+    falls; what is left nests into the template. Inline elements have no token: what they hold stands inside the
+    element around them.
+    """
+    parent = F.regexp_replace("token", f"(?:/(?:{'|'.join(sorted(INLINE))})(?=/))*+/[^/]*$", "")
+    # the class of each token, and of the token it stands in; the page itself is always there
+    classes = frequent.select("host", "vector", "token", parent.alias("parent")).where("token != ''")
+    places = frequent.select("host", F.col("token").alias("parent"), F.col("vector").alias("outer"))
+    links = classes.join(places, ["host", "parent"], "left").where("parent != ''")
+    links = settled(links.select("host", "vector", "outer").distinct().where("outer is null or outer != vector"), "classes")
+    fallen = settled(links.where("outer is null").select("host", "vector").distinct(), "classes")
+    new = fallen
+    while not new.isEmpty():
+        inside = links.join(new.select("host", F.col("vector").alias("outer")), ["host", "outer"], "left_semi")
+        new = inside.select("host", "vector").distinct().join(fallen, ["host", "vector"], "left_anti")
+        new = settled(new, "classes")
+        fallen = fallen.unionByName(new)
+    return frequent.join(fallen, ["host", "vector"], "left_anti")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, main, fixed): the path of the main slot and the constant slots in it.
 
@@ -315,14 +338,7 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     # classes: tokens of a host with the same occurrence vector, frequent enough
     frequent = tokens.join(hosts, "host").where((F.col("pages") >= SUPPORT * F.col("all_pages")) & ~F.col("skip"))
-    classes = frequent.groupBy("host", "vector").agg(F.count("*").alias("class_size"))
-    member = frequent.join(classes, ["host", "vector"])
-    parent = F.regexp_replace("token", "/[^/]*$", "")
-    names = member.select("host", F.col("token").alias("parent"))
-    nested = member.withColumn("parent", parent)
-    valid = nested.where("parent = ''").unionByName(
-        nested.join(names, ["host", "parent"], "left_semi")
-    )
+    valid = _in_valid_classes(frequent)
     # how much text below a token varies, that of rare tokens too; every token adds to each of its ancestors
     tag = F.regexp_extract("token", r"/([^/.]*)[^/]*$", 1)
     enough_texts = F.coalesce(F.col("most_texts") >= CONSTANT_TEXTS, F.lit(False))
