@@ -124,6 +124,19 @@ def test_stripes_need_two_shuffles_and_no_join(spark, docs):
     assert text.count("Exchange") == 2 and "Join" not in text
 
 
+def test_a_merge_of_stripes_needs_one_shuffle(spark):
+    entry = "word string, part int, entries array<struct<neighbor:string,cnt:bigint>>"
+    first = spark.createDataFrame([("a", 0, [("b", 1), ("c", 2)]), ("b", 0, [("a", 1)]), ("x", 0, [])], entry)
+    second = spark.createDataFrame([("a", 0, []), ("a", 1, [("b", 3)]), ("y", 0, []), (None, 0, [(None, 1)])], entry)
+    merged = op.merge_stripes(first, second, parts=3)
+    assert plan(merged).count("Exchange") == 1
+    found = {}
+    for r in merged.collect():
+        assert r.entries or r.part == 0
+        found.setdefault(r.word, {}).update((e.neighbor, e.cnt) for e in r.entries)
+    assert found == {"a": {"b": 4, "c": 2}, "b": {"a": 1}, "x": {}, "y": {}, None: {}}
+
+
 def test_a_table_of_many_splits_is_not_shuffled(spark, tmp_path, texts):
     path = str(tmp_path / "many")
     n = 2 * spark.sparkContext.defaultParallelism

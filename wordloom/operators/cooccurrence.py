@@ -253,10 +253,19 @@ def stripes(pairs: DataFrame, parts: int = 1) -> DataFrame:
     if not isinstance(parts, int) or parts < 1:
         raise ValueError(f"parts must be an integer of at least 1, not {parts!r}")
     counts = [c for c in pairs.columns if c not in ("word", "neighbor")]
-    entry = F.when(F.col("neighbor").isNotNull(), F.struct("neighbor", *counts)).alias("entry")
+    return _gathered(pairs.select("word", _part(parts).alias("part"), "neighbor", *counts))
+
+
+def _part(parts: int):
     bucket = F.conv(F.substring(F.md5(F.col("neighbor").cast("binary")), 1, 8), 16, 10).cast("bigint")
     part = F.coalesce(F.pmod(bucket, F.lit(parts)), F.lit(0)) if parts > 1 else F.lit(0)
-    placed = pairs.select("word", part.cast("int").alias("part"), entry)
+    return part.cast("int")
+
+
+def _gathered(placed: DataFrame) -> DataFrame:
+    counts = [c for c in placed.columns if c not in ("word", "part", "neighbor")]
+    entry = F.when(F.col("neighbor").isNotNull(), F.struct("neighbor", *counts)).alias("entry")
+    placed = placed.select("word", "part", entry)
     return placed.groupBy("word", "part").agg(F.sort_array(F.collect_list("entry")).alias("entries"))
 
 
@@ -360,12 +369,15 @@ def merge_stripes(*stripe_sets: DataFrame, parts: int) -> DataFrame:
     """Element-wise sum of several sets of stripes, empty stripes included.
 
     The sets may have different numbers of parts. Every word has a part 0 in the result.
+    Entries are dealt to the parts of the result at once, and there summed and gathered: one shuffle.
     """
+    if not isinstance(parts, int) or parts < 1:
+        raise ValueError(f"parts must be an integer of at least 1, not {parts!r}")
 
     def rows(s: DataFrame) -> DataFrame:
         marked = F.when(F.col("part") == 0, F.array_append("entries", F.lit(None))).otherwise(F.col("entries"))
         return s.select("word", F.explode_outer(marked).alias("e")).select("word", "e.*")
 
     pairs = reduce(DataFrame.unionByName, (rows(s) for s in stripe_sets))
-    summed = pairs.groupBy("word", "neighbor").agg(F.sum("cnt").alias("cnt"))
-    return stripes(summed, parts)
+    placed = pairs.select("word", _part(parts).alias("part"), "neighbor", "cnt").repartition("word", "part")
+    return _gathered(placed.groupBy("word", "part", "neighbor").agg(F.sum("cnt").alias("cnt")))
