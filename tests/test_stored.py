@@ -157,6 +157,20 @@ def test_merge_leaves_the_stored_side_where_it_is(spark, docs, rows, tmp_path):
     assert "Exchange" not in left, "the stored side is read in its buckets"
 
 
+def test_a_bucket_is_written_by_several_tasks(spark, rows, tmp_path):
+    entry = "word string, part int, entries array<struct<neighbor:string,cnt:bigint>>"
+    first = spark.createDataFrame([(f"w{i}", i % 2, [("n", i)]) for i in range(600)], entry)
+    op.save_stripes(first, "many_writers", 3, str(tmp_path / "matrix"))
+    try:
+        files = glob.glob(str(tmp_path / "matrix" / "*.parquet"))
+        assert 3 < len(files) <= 12, "more tasks than buckets, and no task with two buckets"
+        stored = spark.table("many_writers")
+        assert rows(stored) == rows(first)
+        assert "Exchange" not in stored.groupBy("word", "part").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql("drop table many_writers")
+
+
 def test_a_lookup_reads_one_file(spark, tmp_path, rows):
     table = spark.range(10_000).select(F.concat(F.lit("k"), F.lpad("id", 5, "0")).alias("word"), F.col("id").alias("cnt"))
     path = str(tmp_path / "clustered")

@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 
 #: Buckets of a stored matrix: its size / 256 MB, say.
 BUCKETS = 64
+#: Tasks, and files, that a bucket is written by.
+WRITERS = 4
 
 
 def save_stripes(stripes: DataFrame, table: str, buckets: int = BUCKETS, path: str | None = None, mode: str = "errorifexists") -> None:
-    """Write ``(word, part, entries)`` as a table bucketed by (word, part), one sorted file for each bucket."""
-    placed = stripes.select("word", "part", "entries").repartition(buckets, "word", "part")
+    """Write ``(word, part, entries)`` as a table bucketed by (word, part), ``WRITERS`` sorted files for each bucket.
+
+    A task holds rows of one bucket only: hashes that are equal modulo a multiple of ``buckets`` are equal modulo it.
+    """
+    placed = stripes.select("word", "part", "entries").repartition(WRITERS * buckets, "word", "part")
     writer = placed.write.mode(mode).bucketBy(buckets, "word", "part").sortBy("word", "part")
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
