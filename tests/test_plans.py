@@ -124,6 +124,15 @@ def test_stripes_need_two_shuffles_and_no_join(spark, docs):
     assert text.count("Exchange") == 2 and "Join" not in text
 
 
+def test_a_few_stopwords_are_masked_inside_the_row(spark, docs, texts):
+    text = plan(op.all_word_stripes(docs, 2, ["the", "of"], parts=4))
+    assert "Join" not in text and text.count("Exchange") == 2
+    table = texts("the cat of the house", "of the", "", "dog", None)
+    pairs = op.stripes_to_pairs(op.all_word_stripes(table, 3, ["the", "of"], parts=2))
+    assert sorted(tuple(r) for r in pairs.collect()) == [("cat", "house", 1), ("house", "cat", 1)]
+    assert {r.word for r in op.all_word_stripes(table, 3, ["the", "of"], parts=2).collect()} == {"cat", "house", "dog"}
+
+
 def test_a_merge_of_stripes_needs_one_shuffle(spark):
     entry = "word string, part int, entries array<struct<neighbor:string,cnt:bigint>>"
     first = spark.createDataFrame([("a", 0, [("b", 1), ("c", 2)]), ("b", 0, [("a", 1)]), ("x", 0, [])], entry)

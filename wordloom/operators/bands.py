@@ -82,10 +82,10 @@ def _boxes(window: Column, s: int, d: int, with_words: bool) -> Column:
     return F.concat(F.array(let(near, from_near)), let(own, from_words))
 
 
-def _masked(tokens: Column, tests: Sequence[Listed], kept: int) -> Column:
+def masked(tokens: Column, tests: Sequence[Listed], kept: int) -> Column:
     """The tokens with NULL for those that take no part; the lists are columns ``list<i>``."""
 
-    def masked(bound: list[Column | None]) -> Column:
+    def rest(bound: list[Column | None]) -> Column:
         def mask(word: Column) -> Column:
             taken = word != ""
             for i, test in enumerate(tests):
@@ -98,7 +98,7 @@ def _masked(tokens: Column, tests: Sequence[Listed], kept: int) -> Column:
     def bind(bound: list[Column | None]) -> Column:
         i = len(bound)
         if i == len(tests):
-            return masked(bound)
+            return rest(bound)
         if tests[i].value is None:
             return bind([*bound, None])
         return let(F.col(f"list{i}"), lambda value: bind([*bound, value]))
@@ -133,7 +133,7 @@ def band_counts(
     tests = [*keep, *drop]
     lists = [t.value.alias(f"list{i}") for i, t in enumerate(tests) if t.value is not None]
     rows = texts.select(token_array("span", tokenizer).alias("t"), *lists)
-    rows = rows.select(_masked(F.col("t"), tests, len(keep)).alias("t"))
+    rows = rows.select(masked(F.col("t"), tests, len(keep)).alias("t"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("t") - 1, F.lit(0)), F.lit(s))
     windows = F.transform(starts, lambda b: F.slice(F.col("t"), b + 1, s + d))
     boxes = F.flatten(F.transform(windows, lambda w: let(w, lambda x: _boxes(x, s, d, with_words))))

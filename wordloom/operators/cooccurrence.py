@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.text import line_array, token_array
-from wordloom.operators.bands import WIDE, band_counts
+from wordloom.operators.bands import WIDE, band_counts, masked
 from wordloom.operators.bloom import filtered
-from wordloom.operators.lists import in_row
+from wordloom.operators.lists import SET_WORDS, in_row, literal_list
 from wordloom.operators.words import drop_words, keep_words
 from wordloom.sources.wordlists import are_few, as_words
 
@@ -58,6 +58,7 @@ def window_pairs(
     The token array, zipped with itself shifted by 1 .. distance, yields every window in one
     generator, so no shuffle or sort comes before the count, and a row carries ``distance``
     tokens however long its line is. The first filter runs before the neighbors are expanded.
+    A few stopwords given in code, without a vocabulary, become NULL inside the row before that.
     """
     _check_distance(distance)
     if scope == "line":
@@ -69,9 +70,12 @@ def window_pairs(
 
     n = F.greatest(F.size("t"), F.lit(1))
     shifted = [F.slice("t", k + 1, n).alias(f"t{k}") for k in range(distance + 1)]
+    rows = texts.select(token_array("span", tokenizer).alias("t"))
+    if vocabulary is None and stopwords is not None and not isinstance(stopwords, DataFrame) and len(stopwords) <= SET_WORDS:
+        rows = rows.select(masked(F.col("t"), [literal_list(stopwords)], 0).alias("t"))
+        stopwords = None
     centres = (
-        texts.select(token_array("span", tokenizer).alias("t"))
-        .select(F.explode_outer(F.arrays_zip(*shifted)).alias("z"))
+        rows.select(F.explode_outer(F.arrays_zip(*shifted)).alias("z"))
         .select(F.col("z.t0").alias("word"), *(f"z.t{k}" for k in range(1, distance + 1)))
         .where(F.col("word") != "")
     )
