@@ -69,3 +69,27 @@ def test_wide_windows_of_nothing(spark, texts):
     assert op.cooccurrence_pairs(spark.createDataFrame([], "text string"), 40).count() == 0
     alone = op.all_word_stripes(texts("one", None, "the"), 40, ["the"], parts=2).collect()
     assert [(r.word, r.part, r.entries) for r in alone] == [("one", 0, [])]
+
+
+@pytest.mark.parametrize("hot", [0, 1, 5, 10_000])
+def test_sweeps_over_all_words_agree_with_each_distance(monkeypatch, docs, hot):
+    monkeypatch.setattr(cooccurrence, "HOT_STRIPES", hot)
+    for stop in (None, ["w1", "rare7"]):
+        swept = op.all_word_stripes_sweep(docs, (4, 1, 3), stop, parts=3).collect()
+        assert len(swept) == len({(r.word, r.part) for r in swept})
+        assert {r.word for r in swept if r.part == 0} == {r.word for r in swept} >= {"alone", "hot"}
+        for d in (1, 3, 4):
+            one = op.all_word_stripes(docs, d, stop, parts=3).collect()
+            expected = {(r.word, r.part): [tuple(e) for e in r.entries] for r in one if r.entries}
+            got = {(r.word, r.part): [(e.neighbor, e[f"cnt_d{d}"]) for e in r.entries if e[f"cnt_d{d}"]] for r in swept}
+            assert {k: v for k, v in got.items() if v} == expected
+
+
+def test_sweeps_over_all_words_shuffle_no_pairs_of_other_words(spark, docs, texts):
+    text = plan(op.all_word_stripes_sweep(docs, (1, 2), ["w1"], parts=2))
+    assert "hashpartitioning(a" not in text and "Exchange hashpartitioning(word" in text and "Join" not in text
+    # all that stands before the list of frequent words is the other words' part of the plan: one shuffle, of contexts
+    assert text.split("Subquery")[0].count("Exchange") == 1
+    assert op.all_word_stripes_sweep(texts(None, "", "of"), (1, 2), ["of"], parts=2).count() == 0
+    with pytest.raises(ValueError):
+        op.all_word_stripes_sweep(docs, (0, 2), parts=2)

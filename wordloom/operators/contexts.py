@@ -21,6 +21,8 @@ from wordloom.operators.words import token_counts, top_words
 
 #: How many of the most frequent words are counted in partial counts.
 HOT = 500
+#: The same for stripes, whose partial counts repeat less.
+HOT_STRIPES = 100
 #: Positions of a block of tokens, whose contexts are cut together.
 BLOCK = 64
 #: Ends a word in a context. Every tokenizer splits at it.
@@ -124,3 +126,43 @@ def context_counts(
         F.when(F.col("near").isNotNull(), F.greatest("home", "near")).alias("b"),
         "cnt",
     )
+
+
+def context_windows(
+    texts: DataFrame,
+    distances: Sequence[int],
+    hot: Listed,
+    drop: Sequence[Listed] = (),
+    tokenizer: str = "nonword",
+    scope: str = "line",
+    text: str = "text",
+) -> tuple[DataFrame, DataFrame]:
+    """``(word, neighbor, cnt_d<k> ...)`` with the neighbors on both sides, of the words that are not hot and of the hot ones.
+
+    Every word also has a row with a NULL neighbor. The first table has all rows of a word in one task: its contexts
+    were shuffled there. The second shuffles partial counts.
+    """
+    d = max(distances)
+    rows = _marked_rows(texts, hot, drop, tokenizer, scope, text)
+    rows = rows.select(F.concat(F.array_repeat(F.lit(None).cast("string"), d), "t").alias("t"))
+    n = F.greatest(F.size("t"), F.lit(1))
+    shifted = [F.slice("t", k + 1, n).alias(f"t{k}") for k in range(2 * d + 1)]
+    own = f"z.t{d}"
+    centres = rows.select(F.explode_outer(F.arrays_zip(*shifted)).alias("z")).where(F.col(own) != "")
+    # an empty text in front stands for the word alone
+    near = [F.lit(""), *(F.coalesce(f"z.t{k}", F.lit("")) for k in range(2 * d + 1) if k != d)]
+    centres = centres.select(F.col(own).alias("word"), F.concat_ws(END, *near).alias("near"))
+
+    def counted(homes: DataFrame) -> DataFrame:
+        pairs = homes.select("word", F.posexplode_outer(F.split("near", END)).alias("pos", "near"))
+        pairs = pairs.where((F.col("pos") == 0) | (F.col("near") != ""))
+        ahead = F.when(F.col("pos") > d, F.col("pos") - d).otherwise(d + 1 - F.col("pos"))
+        pairs = pairs.select("word", F.when(F.col("pos") > 0, F.col("near")).alias("near"), ahead.alias("offset"))
+        counts = [f"cnt_d{k}" for k in distances]
+        within = [F.count_if(F.col("offset") <= k).alias(c) for k, c in zip(distances, counts)]
+        found = pairs.groupBy("word", "near").agg(*within)
+        return found.select("word", _unmarked("near").alias("neighbor"), *counts)
+
+    is_hot = F.col("word").startswith(MARK)
+    frequent = counted(centres.where(is_hot)).withColumn("word", _unmarked("word"))
+    return counted(centres.where(~is_hot).repartition("word").sortWithinPartitions("word")), frequent

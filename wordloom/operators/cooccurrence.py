@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.text import line_array, token_array
 from wordloom.operators.bands import WIDE, band_counts, masked
 from wordloom.operators.bloom import filtered
-from wordloom.operators.contexts import context_counts, hot_words
+from wordloom.operators.contexts import HOT_STRIPES, context_counts, context_windows, hot_words
 from wordloom.operators.lists import are_in_code, in_row, literal_list
 from wordloom.operators.words import drop_words, keep_words
 from wordloom.sources.wordlists import are_few, as_words
@@ -354,6 +354,14 @@ def all_word_stripes_sweep(
     small_lists: bool | None = None,
 ) -> DataFrame:
     """Stripes of every word for several distances, as in ``vocabulary_stripes_sweep``."""
+    distances = sorted(set(distances))
+    for distance in distances:
+        _check_distance(distance)
+    if distances[-1] < WIDE and (stopwords is None or are_in_code(stopwords)):
+        gone = [] if stopwords is None else [literal_list(stopwords)]
+        hot = hot_words(texts, stopwords, "nonword", text, HOT_STRIPES)
+        found = context_windows(texts, distances, hot, gone, "nonword", scope, text)
+        return reduce(DataFrame.unionByName, (stripes(pairs, parts) for pairs in found))
     pairs = _sweep(
         texts, distances, None, stopwords, small_lists, tokenizer="nonword", scope=scope, text=text, with_words=True
     )
