@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.porter import stem, stem_array
 from wordloom.functions.text import token_array
 from wordloom.operators.lists import let, short_list
-from wordloom.operators.words import drop_words
+from wordloom.operators.words import drop_words, tokens
 from wordloom.sources.wordlists import LITERAL_WORDS
 
 # Fixed value: the corpus size in the score formula when none is given.
@@ -107,6 +107,21 @@ def _terms(docs: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFrame
     return terms.where(F.col("term") != "")
 
 
+def _listed_terms(docs: DataFrame, table: DataFrame, tokenizer: str, doc_id: str, text: str) -> DataFrame:
+    """``(doc_id, term, ...)``: each token whose stem is a term of a small table, with the table's columns.
+
+    Each distinct word is stemmed once, and the words of listed terms are joined to the tokens. They are about as few as
+    the terms, however large the corpus: each rule takes one of a fixed list of suffixes. Spark cannot know that and
+    would shuffle every token, hence the broadcast. The stem comes out of an array, or a filter on it
+    would be moved below the ``distinct`` and stem every token.
+    """
+    words = tokens(docs, tokenizer, text).distinct()
+    stemmed = words.select("word", F.explode(F.array(stem(F.col("word")))).alias("term"))
+    listed = F.broadcast(stemmed.join(table, "term"))
+    kept = tokens(docs, tokenizer, text, keep=(F.col(doc_id).alias("doc_id"),))
+    return kept.join(listed, "word").drop("word")
+
+
 def term_frequency(
     docs: DataFrame,
     df_table: DataFrame | None = None,
@@ -117,12 +132,13 @@ def term_frequency(
 ) -> DataFrame:
     """``(doc_id, term, tf)`` over stemmed tokens, limited to the terms of ``df_table`` if given.
 
-    With ``small_table`` (a top-k list, say) the table filters the tokens before they are counted;
-    otherwise it joins the counts.
+    With ``small_table`` (a top-k list, say) only words of its terms are counted, found by one more pass
+    that stems each distinct word once; otherwise it joins the counts.
     """
-    terms = _terms(docs, tokenizer, doc_id, text)
     if df_table is not None and small_table:
-        terms = terms.join(df_table, "term", "left_semi")
+        terms = _listed_terms(docs, df_table.select("term").distinct(), tokenizer, doc_id, text)
+    else:
+        terms = _terms(docs, tokenizer, doc_id, text)
     counts = terms.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
     if df_table is not None and not small_table:
         counts = counts.join(df_table, "term", "left_semi")
@@ -147,15 +163,16 @@ def tf_idf(
     """``(doc_id, term, score)``, the score rounded to six decimals.
 
     Terms outside ``df_table`` are left out, or with ``keep_unknown_terms`` scored as if one
-    document held them. A document with no term left has no row. With ``small_table`` the table is
-    joined to the tokens and its ``df`` carried through the count; otherwise the only join is that of
-    the counts with the table, which adaptive execution can split at a term of most documents.
+    document held them. A document with no term left has no row. With ``small_table`` the words of its
+    terms, found by one more pass that stems each distinct word once, are joined to the tokens and ``df``
+    carried through the count; otherwise the only join is that of the counts with the table, which adaptive execution can split at a term of most documents.
     """
-    terms = _terms(docs, tokenizer, doc_id, text)
     table = df_table.select("term", "df")
     if small_table and not keep_unknown_terms:
-        counts = terms.join(table, "term").groupBy("doc_id", "term", "df").agg(F.count("*").alias("tf"))
+        terms = _listed_terms(docs, table, tokenizer, doc_id, text)
+        counts = terms.groupBy("doc_id", "term", "df").agg(F.count("*").alias("tf"))
     else:
+        terms = _terms(docs, tokenizer, doc_id, text)
         counts = terms.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
         counts = counts.join(table, "term", "left" if keep_unknown_terms else "inner")
     df = F.coalesce("df", F.lit(1)) if keep_unknown_terms else F.col("df")
