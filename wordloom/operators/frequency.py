@@ -129,16 +129,20 @@ def term_frequency(
     doc_id: str = "doc_id",
     text: str = "text",
     small_table: bool = False,
+    stem_once: bool = False,
 ) -> DataFrame:
     """``(doc_id, term, tf)`` over stemmed tokens, limited to the terms of ``df_table`` if given.
 
-    With ``small_table`` (a top-k list, say) only words of its terms are counted, found by one more pass
-    that stems each distinct word once; otherwise it joins the counts.
+    With ``small_table`` (a top-k list, say) the table filters the tokens before they are counted;
+    otherwise it joins the counts. With ``stem_once`` as well, one more pass over the texts stems each
+    distinct word once, and only words of the table's terms are counted.
     """
-    if df_table is not None and small_table:
+    if df_table is not None and small_table and stem_once:
         terms = _listed_terms(docs, df_table.select("term").distinct(), tokenizer, doc_id, text)
     else:
         terms = _terms(docs, tokenizer, doc_id, text)
+        if df_table is not None and small_table:
+            terms = terms.join(df_table, "term", "left_semi")
     counts = terms.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
     if df_table is not None and not small_table:
         counts = counts.join(df_table, "term", "left_semi")
@@ -159,17 +163,22 @@ def tf_idf(
     doc_id: str = "doc_id",
     text: str = "text",
     small_table: bool = False,
+    stem_once: bool = False,
 ) -> DataFrame:
     """``(doc_id, term, score)``, the score rounded to six decimals.
 
     Terms outside ``df_table`` are left out, or with ``keep_unknown_terms`` scored as if one
-    document held them. A document with no term left has no row. With ``small_table`` the words of its
-    terms, found by one more pass that stems each distinct word once, are joined to the tokens and ``df``
-    carried through the count; otherwise the only join is that of the counts with the table, which adaptive execution can split at a term of most documents.
+    document held them. A document with no term left has no row. With ``small_table`` the table is
+    joined to the tokens and its ``df`` carried through the count, with ``stem_once`` by the words of its terms, which
+    one more pass finds by stemming each distinct word once; otherwise the only join is that of
+    the counts with the table, which adaptive execution can split at a term of most documents.
     """
     table = df_table.select("term", "df")
     if small_table and not keep_unknown_terms:
-        terms = _listed_terms(docs, table, tokenizer, doc_id, text)
+        if stem_once:
+            terms = _listed_terms(docs, table, tokenizer, doc_id, text)
+        else:
+            terms = _terms(docs, tokenizer, doc_id, text).join(table, "term")
         counts = terms.groupBy("doc_id", "term", "df").agg(F.count("*").alias("tf"))
     else:
         terms = _terms(docs, tokenizer, doc_id, text)

@@ -197,7 +197,7 @@ def porter_stem(spark, sf):
 
 
 def term_freq(spark, sf):
-    return op.term_frequency(documents(spark, sf), doc_freq_top100(spark, sf), small_table=True)
+    return op.term_frequency(documents(spark, sf), doc_freq_top100(spark, sf), small_table=True, stem_once=True)
 
 
 def tfidf(spark, sf):
@@ -323,7 +323,8 @@ def counters_observed(spark, sf):
     table = counters.watch(terms, "term_document_pairs").groupBy("term").agg(F.count("*").alias("df"))
     path = scratch_path(spark, "df")
     counters.watch(table, "terms").write.parquet(path)
-    scores = op.tf_idf(documents(spark, sf), op.top_terms(spark.read.parquet(path), 100), small_table=True)
+    top = op.top_terms(spark.read.parquet(path), 100)
+    scores = op.tf_idf(documents(spark, sf), top, small_table=True, stem_once=True)
     counters.watch(scores, "score_rows").write.parquet(scratch_path(spark, "scores"))
     return spark.createDataFrame(sorted(counters.values().items()), "counter string, value bigint")
 
