@@ -1,8 +1,16 @@
+import gzip
+import io
+import random
+from contextlib import redirect_stdout
+
 import pytest
+from pyarrow import fs
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from wordloom import operators as op
 from wordloom import sinks, sources
+from wordloom.sources import files
 
 
 @pytest.fixture
@@ -214,3 +222,70 @@ def test_documents_where_arrow_has_no_file_system(spark, tmp_path, texts, monkey
     path = str(tmp_path / "plain")
     sinks.write_documents(texts("a\nb", None), path)
     assert sorted(r.line for r in sources.read_document_lines(spark, path).collect()) == ["", "a", "b"]
+
+
+@pytest.fixture
+def odd_corpus(tmp_path):
+    """Files in folders of a partition column and the same in one folder, with all that ends a line."""
+    rng = random.Random(3)
+    texts = [b"", b"\n", b"\r\r\n\n", b"one", b"\xef\xbb\xbfmark\r\nx", b"\xef\xbb\xbf", b"\xff\xfe broken \xc3\n", "ü ß\r".encode()]
+    texts += [b"".join(rng.choice([b"a", b"bc d", b"\r", b"\n", b"\r\n"]) for _ in range(60)) for _ in range(12)]
+    for i, text in enumerate(texts):
+        for place in (tmp_path / "flat", tmp_path / f"parts/folder={i % 3}"):
+            place.mkdir(parents=True, exist_ok=True)
+            (place / f"n {i}+%41.txt").write_bytes(text)
+            (place / "_hidden").write_bytes(b"hidden")
+    return tmp_path
+
+
+def _line_rows(df):
+    return sorted((r[0], bytes(r[1])) for r in df.select("doc_id", F.col("line").cast("binary")).collect())
+
+
+@pytest.mark.parametrize("step", [1, 2, 7, 1 << 20])
+@pytest.mark.parametrize("folder", ["flat", "parts"])
+def test_files_are_listed_and_read_in_tasks(spark, odd_corpus, monkeypatch, folder, step):
+    path = str(odd_corpus / folder)
+    expected = _line_rows(sources.read_document_lines(spark, path))
+    assert len(expected) > 100
+    _, lines = sources.read_documents(spark, path, whole_bytes=0)
+    assert _line_rows(lines) == expected
+    for size in (1, 2, 3, 10):
+        monkeypatch.setattr("wordloom.sources.files.STEP_BYTES", step)
+        found = []
+        for file in sorted((odd_corpus / folder).glob("**/n *.txt")):
+            with fs.LocalFileSystem().open_input_file(str(file)) as opened:
+                n = file.stat().st_size
+                found += [(file.name, line) for first in range(0, n, size) for line in files._range_lines(opened, first, first + size)]
+        assert sorted(found) == expected
+    whole, rest = sources.read_documents(spark, path)
+    got = {r[0]: bytes(r[1]) for r in whole.select("doc_id", F.col("text").cast("binary")).collect()}
+    assert got == {f.name: f.read_bytes() for f in (odd_corpus / folder).glob("**/n *.txt") if f.stat().st_size}
+    assert rest.count() == 0
+
+
+def test_the_driver_holds_no_list_of_files(spark, odd_corpus):
+    for folder in ("flat", "parts"):
+        for table in (*sources.read_documents(spark, str(odd_corpus / folder)), sources.list_documents(spark, str(odd_corpus / folder))):
+            assert table.inputFiles() == []
+            out = io.StringIO()
+            with redirect_stdout(out):
+                table.explain("simple")
+            assert "FileScan" not in out.getvalue() and "BatchScan" not in out.getvalue()
+
+
+def test_files_that_only_spark_reads(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/x.txt.gz").write_bytes(gzip.compress(b"one\ntwo\n"))
+    (tmp_path / "b/inner").mkdir(parents=True)
+    (tmp_path / "b/y.txt").write_bytes(b"three")
+    (tmp_path / "b/inner/z.txt").write_bytes(b"four")
+    found = {}
+    for place in (tmp_path / "a", tmp_path / "b", tmp_path / "b/y.txt", tmp_path / "?"):
+        whole, rest = sources.read_documents(spark, str(place))
+        assert rest.count() == 0
+        found[place.name] = {r.doc_id: r.text for r in whole.collect()}
+    assert found["a"] == {"x.txt.gz": "one\ntwo\n"} and found["y.txt"] == {"y.txt": "three"}
+    assert found["b"] == {"y.txt": "three"} and found["?"] == found["a"] | found["b"]
+    with pytest.raises(AnalysisException):
+        sources.read_documents(spark, str(tmp_path / "none"))
