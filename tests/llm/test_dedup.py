@@ -6,6 +6,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wordloom.llm import near_dedup, suffix_dedup
@@ -71,6 +72,61 @@ def test_later_rounds_of_centres(documents, monkeypatch):
     assert near(documents(texts)) == groups(texts)
 
 
+@pytest.mark.parametrize("rows_a_batch", ["3", "10000"])
+def test_centres_meet_the_members_of_a_bucket_in_blocks(spark, documents, monkeypatch, rows_a_batch):
+    """A line that stands in many unlike texts makes large buckets of as many components."""
+    monkeypatch.setattr(near_dedup, "BLOCK_CENTRES", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK_PAIRS", 7)
+    rng = random.Random(5)
+    line = " ".join(f"c{i}" for i in range(30))
+    texts = [line + " " + " ".join(f"w{rng.randrange(10_000)}" for _ in range(12)) for _ in range(40)]
+    texts += [f"{t} {end}" for t in texts[5:25] for end in ("x", "y z")] + family(rng, 12, 60, 9)
+    rng.shuffle(texts)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_batch)
+    try:
+        assert near(documents(texts)) == groups(texts)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("size", [1, 4, 1000])
+def test_pairs_that_meet_are_those_of_all_pairs(size):
+    rng = np.random.default_rng(4)
+    count, lanes = near_dedup.BINS // near_dedup.LANES, near_dedup.LANES
+    base = rng.integers(0, 4, (6, near_dedup.BANDS + count))
+    rows = []
+    for key, part, members in ((1, 0, 30), (1, 1, 30), (2, 0, 1), (3, 0, 9)):
+        for i in range(members):
+            own = np.where(rng.random(base.shape[1]) < 0.1, rng.integers(0, 4, base.shape[1]), base[i % 6])
+            packs, codes = own[: near_dedup.BANDS], own[near_dedup.BANDS :]
+            codes = codes * sum(1 << 8 * j for j in range(lanes))
+            rank = i if i < 12 else None
+            chosen = rank is not None
+            rows.append((key, part, chosen and rank // 6 == part, chosen, int(rng.integers(0, 3)), i, i % 20, 300 + i, packs, codes))
+    rows.sort(key=lambda r: (r[0], r[1], not r[2]))
+
+    def lane_bytes(codes):
+        return codes.astype(np.int64).view(np.uint8)[None, :]
+
+    expected = set()
+    for x in rows:
+        for y in rows:
+            if x[:2] == y[:2] and x[2] and x[6] != y[6] and not (y[3] and y[5] < x[5]):
+                same = np.flatnonzero(x[8] == y[8])
+                if 100 * min(x[7], y[7]) >= 75 * max(x[7], y[7]) and len(same) and same[0] == y[4]:
+                    sizes = (np.array([z[7]]) for z in (x, y))
+                    if near_dedup._plausible(lane_bytes(x[9]), lane_bytes(y[9]), *sizes, 75)[0]:
+                        expected.add((min(x[5], y[5]), max(x[5], y[5])))
+
+    names = ("key", "part", "centre", "chosen", "band", "rep", "comp", "n", "packs", "codes")
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([v.tolist() if isinstance(v, np.ndarray) else v for v in c]) for c in zip(*rows[i : i + size])], names=names)
+        for i in range(0, len(rows), size)
+    ]
+    found = [p for b in near_dedup._meet(75)(iter(batches)) for p in zip(*(c.to_pylist() for c in b.columns))]
+    assert set(found) == expected and len(expected) > 10
+
+
 def test_ids(documents, spark):
     same = " ".join(f"w{i}" for i in range(30))
     other = " ".join(f"v{i}" for i in range(30))

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.llm.components import components
@@ -46,6 +46,9 @@ BINS, LANES = 511, 7
 SIGMAS = 5.0
 #: Centres per bucket in the second round.
 CENTRES = 2048
+#: Centres of a bucket that meet its members in one task, and pairs that are compared at once.
+BLOCK_CENTRES = 512
+BLOCK_PAIRS = 1 << 16
 
 
 def shingle_sets(
@@ -149,42 +152,75 @@ def _band(bands: int, rows: int):
     return band
 
 
-def _empty_lanes(x: Column) -> Column:
-    """How many of the LANES bytes of a number are 0."""
-    low = sum(0x7F << 8 * i for i in range(LANES))
-    high = sum(0x80 << 8 * i for i in range(LANES))
-    carried = (x.bitwiseAND(F.lit(low)) + F.lit(low)).bitwiseOR(x)  # high bit: the byte is not 0
-    return F.lit(LANES) - F.bit_count(carried.bitwiseAND(F.lit(high)))
-
-
-def _plausible(a: Column, b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
-    """Whether the bins of two sets leave the similarity possible.
+def _plausible(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the bins of two sets, a row of bytes for each pair, leave the similarity possible.
 
     The share of bins with equal codes among those that are not empty in both estimates it, with
     variance J (1 - J) (1 / bins - 1 / union) or a little more where codes agree by chance.
     """
-    share = percent / 100
-
-    def count(pairs: Column) -> Column:
-        start = F.struct(F.lit(0).alias("equal"), F.lit(0).alias("empty"))
-        return F.aggregate(
-            pairs,
-            start,
-            lambda s, p: F.struct((s["equal"] + p["equal"]).alias("equal"), (s["empty"] + p["empty"]).alias("empty")),
-        )
+    share, spare = percent / 100, BINS // LANES  # a number's last byte is no bin
+    equal = np.count_nonzero(a == b, axis=1) - spare
+    empty = np.count_nonzero((a | b) == 0, axis=1) - spare
+    used = float(BINS) - empty
+    union = (n_a + n_b) / (1 + share)
+    spread = np.sqrt(share * (1 - share) * np.maximum(1 / used - 1 / union, 0.0))
+    return (equal - empty) / used >= share - SIGMAS * spread - 1e-9
 
-    def compare(x: Column, y: Column) -> Column:
-        return F.struct(
-            _empty_lanes(x.bitwiseXOR(y)).cast("int").alias("equal"), _empty_lanes(x.bitwiseOR(y)).cast("int").alias("empty")
-        )
 
-    def decide(s: Column) -> Column:
-        used = F.lit(float(BINS)) - s["empty"]
-        union = (n_a + n_b) / (1 + share)
-        spread = F.sqrt(share * (1 - share) * F.greatest(1 / used - 1 / union, F.lit(0.0)))
-        return (s["equal"] - s["empty"]) / used >= share - SIGMAS * spread - 1e-9
+def _meet(percent: int):
+    """Pairs (a, b) of a centre and a row of its key and part that neither sizes nor bins rule out.
 
-    return F.get(F.transform(F.array(count(F.zip_with(a, b, compare))), decide), F.lit(0))
+    Rows come by key and part, centres first. Only rows of different components meet, only in the first band that they
+    share, and two centres once. The centres of a group that goes on are held for the next batch.
+    """
+
+    def plausible(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = rows["n"]
+        fit = rows["comp"][x] != rows["comp"][y]
+        fit &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+        fit &= ~(rows["chosen"][y] & (rows["rep"][y] <= rows["rep"][x]))
+        x, y = x[fit], y[fit]
+        shared = rows["packs"][x] == rows["packs"][y]
+        fit = shared.any(axis=1) & (shared.argmax(axis=1) == rows["band"][y])
+        x, y = x[fit], y[fit]
+        fit = _plausible(rows["codes"][x], rows["codes"][y], n[x], n[y], percent)
+        return x[fit], y[fit]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "part", "centre", "chosen", "band", "rep", "comp", "n")}
+            rows["packs"] = batch.column("packs").flatten().to_numpy().reshape(-1, BANDS)
+            rows["codes"] = batch.column("codes").flatten().to_numpy().reshape(-1, BINS // LANES).view(np.uint8)
+            before = 0
+            if held is not None and held["key"][0] == rows["key"][0] and held["part"][0] == rows["part"][0]:
+                before = len(held["key"])
+                rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
+            new = (rows["key"][1:] != rows["key"][:-1]) | (rows["part"][1:] != rows["part"][:-1])
+            first = np.append(0, np.flatnonzero(new) + 1)
+            group = np.cumsum(np.append(0, new))
+            centres = np.add.reduceat(rows["centre"].astype(np.int64), first)
+            met = centres[group]  # centres that a row meets
+            ends = np.cumsum(met)
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            low = 0
+            while low < len(met):
+                done = ends[low - 1] if low else 0
+                high = max(int(np.searchsorted(ends, done + BLOCK_PAIRS, "right")), low + 1)
+                y = np.repeat(np.arange(low, high), met[low:high])
+                x = np.arange(len(y)) - np.repeat(ends[low:high] - met[low:high] - done, met[low:high]) + first[group[y]]
+                fresh = (x >= before) | (y >= before)
+                found.append(plausible(rows, x[fresh], y[fresh]))
+                low = high
+            x, y = (np.concatenate(f) for f in zip(*found, strict=True))
+            pairs = np.sort(np.stack([rows["rep"][x], rows["rep"][y]]), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            last = slice(int(first[-1]), int(first[-1] + centres[-1]))
+            held = {c: v[last].copy() for c, v in rows.items()} if centres[-1] else None
+
+    return meet
 
 
 def estimate(
@@ -366,25 +402,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
         outside = mixed.where("comp <> largest").join(used, ["key", "rep"], "left_anti")
         rank = F.row_number().over(Window.partitionBy("key").orderBy("rep"))
         chosen = outside.withColumn("rank", rank).where(F.col("rank") <= wanted)
-        chosen = settled(chosen.select("key", "rep"), "centres")
+        chosen = chosen.select("key", "rep", F.floor((F.col("rank") - 1) / BLOCK_CENTRES).cast("int").alias("slice"))
+        chosen = settled(chosen, "centres")
         if chosen.isEmpty():
             break
-        here = mixed.join(chosen.select("key").distinct(), "key", "left_semi")
+        # the members of a bucket come once for each slice of its centres
+        parts = chosen.groupBy("key").agg(F.max("slice").alias("parts"))
+        here = mixed.join(parts, "key").join(chosen, ["key", "rep"], "left")
+        here = here.select("*", F.explode(F.sequence(F.lit(0), "parts")).alias("part"))
+        here = here.select(
+            "key", "part", F.col("slice").eqNullSafe(F.col("part")).alias("centre"), F.col("slice").isNotNull().alias("chosen"),
+            F.col("band").cast("int").alias("band"), "rep", "comp",
+        )
         here = here.join(banded.select("rep", "n", "packs", "codes"), "rep")
-        here = here.select("key", "band", "rep", "comp", "n", "packs", "codes")
-        x = here.join(chosen, ["key", "rep"]).select(
-            "key", F.col("rep").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("packs").alias("px"), F.col("codes").alias("kx")
-        )
-        first_shared = F.array_position(F.zip_with("px", "packs", lambda a, b: a == b), F.lit(True)) == F.col("band") + 1
-        fresh = x.join(here, "key").where(
-            (F.col("cx") != F.col("comp"))
-            & (100 * F.least("nx", "n") >= percent * F.greatest("nx", "n"))
-            & first_shared
-            & _plausible(F.col("kx"), F.col("codes"), F.col("nx"), F.col("n"), percent)
-        )
-        fresh = fresh.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
+        here = here.repartition("key", "part").sortWithinPartitions("key", "part", F.desc("centre"))
+        fresh = here.mapInArrow(_meet(percent), "a long, b long").distinct()
         more = linked(settled(likely(settled(fresh, "plausible")), "likely"))
-        used = settled(used.unionByName(chosen), "used")
+        used = settled(used.unionByName(chosen.drop("slice")), "used")
         wanted *= CENTRES
         # new links join whole components
         ends = [labels.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in ("a", "b")]
